@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that are scanned at a time; a longer single text is a piece of its own.
@@ -45,7 +46,7 @@ def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES)
     n = batch.num_rows
     if not n:
         return
-    sizes = np.asarray(pa.compute.binary_length(batch.column(text)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(text)).fill_null(0), dtype=np.int64)
     total = np.cumsum(sizes)
     at = 0
     while at < n:
