@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import re
+import sys
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import regex
 
+from leafwright.llm.common import mix
+
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: The same split for texts in which `\w`, `\d` and `\s` of the standard library mean what the pattern's classes mean.
 _PLAIN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -17,3 +24,149 @@ _ODD = re.compile("[^\x09-\x0d\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ʯΑ-ҁҊ-Ֆ‐-‧
 def split(text: str) -> list[str]:
     """All matches of the vocabulary's pattern, which together are the text."""
     return _PATTERN.findall(text) if _ODD.search(text) else _PLAIN.findall(text)
+
+
+LETTER, NUMBER, BLANK, OTHER = 1, 2, 3, 4
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The pattern's class of every code point."""
+    every = "".join(map(chr, range(0xD800))) + "\0" * 0x800 + "".join(map(chr, range(0xE000, sys.maxunicode + 1)))
+    table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            table[m.start() : m.end()] = kind
+    return table
+
+
+_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _power(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    if k not in _powers or len(_powers[k][0]) < n:
+        runs = []
+        for base in (_BASES[k], np.uint64(pow(int(_BASES[k]), -1, 1 << 64))):
+            run = np.full(max(n, 1 << 20), base, np.uint64)
+            run[0] = 1
+            runs.append(np.cumprod(run, dtype=np.uint64))
+        _powers[k] = (runs[0], runs[1])
+    return _powers[k][0][:n], _powers[k][1][:n]
+
+
+@dataclass
+class Pieces:
+    """Pieces of several texts: bounds in their common run of code points, two hashes, and each text's first piece."""
+
+    text: str
+    start: np.ndarray
+    end: np.ndarray
+    hash: np.ndarray
+    check: np.ndarray
+    first: np.ndarray
+
+    def piece(self, k: int) -> str:
+        return self.text[self.start[k] : self.end[k]]
+
+
+def scan(texts: list[str]) -> Pieces:
+    """The same pieces as split() for each text, found in numpy over all of them at once."""
+    whole = "".join(texts)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    at = np.concatenate([[0], np.cumsum(size)])
+    n = len(whole)
+    if not n:
+        empty = np.zeros(0, np.int64)
+        return Pieces(whole, empty, empty, empty.view(np.uint64), empty.view(np.uint64), np.zeros(len(texts) + 1, np.int64))
+    code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    kind = _classes()[code]
+    edge = np.zeros(n + 1, bool)
+    edge[at] = True
+    begins = edge.copy()
+    begins[1:n] |= kind[1:] != kind[:-1]
+    blank, space = kind == BLANK, code == 0x20
+    # The last blank before a text goes on belongs to what follows if it is a space, and stands alone otherwise.
+    before = np.flatnonzero(blank[:-1] & begins[1:n] & ~edge[1:n])
+    starts = begins
+    starts[before] = True
+    starts[before[space[before]] + 1] = False
+    mark = np.flatnonzero(code[:-1] == 0x27)
+    mark = mark[starts[mark] & starts[mark + 1] & (kind[mark + 1] == LETTER) & ~edge[mark + 1]]
+    if len(mark):
+        one = code[mark + 1]
+        far = mark + 2
+        two = np.where((far < n) & ~edge[np.minimum(far, n)], code[np.minimum(far, n - 1)], 0)
+        length = np.where(np.isin(one, [ord(c) for c in "stmd"]), 1, 0)
+        for a, b in ("re", "ve", "ll"):
+            length[(one == ord(a)) & (two == ord(b))] = 2
+        mark, length = mark[length > 0], length[length > 0]
+        starts[mark + 1] = False
+        starts[mark + 1 + length] = True
+    start = np.flatnonzero(starts[:n])
+    end = np.append(start[1:], n)
+    hashes = []
+    for k in (0, 1):
+        up, down = _power(k, n)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum((code + np.uint64(1)) * up, out=total[1:])
+        hashes.append(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
+    return Pieces(whole, start, end, hashes[0], hashes[1], np.searchsorted(start, at, "left"))
+
+
+class PieceMemo:
+    """Ids of pieces by hash: sorted arrays of a few bytes an entry, so that a worker can keep millions.
+
+    A piece is taken as known only if both of its hashes, 128 bits together, agree.
+    """
+
+    def __init__(self, dtype: np.dtype, limit: int):
+        self.dtype, self.limit = dtype, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, self.dtype)
+
+    def _find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where((self.hash[at] == hashes) & (self.check[at] == checks), at, -1)
+
+    def encode(self, pieces: Pieces, encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and n + 1 offsets of the texts; ``encode`` gets the pieces that are new."""
+        order = np.argsort(pieces.hash)
+        ranked = pieces.hash[order]
+        leads = np.ones(len(order), bool)
+        leads[1:] = ranked[1:] != ranked[:-1]
+        lead = order[leads]
+        inverse = np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(leads) - 1
+        if not (pieces.check[lead][inverse] == pieces.check).all():
+            raise ValueError("two pieces share a hash")  # 2**-64 a pair, within one batch
+        known = self._find(ranked[leads], pieces.check[lead])
+        fresh = np.flatnonzero(known < 0)
+        ids = encode([pieces.piece(k) for k in lead[fresh].tolist()])
+        size = np.empty(len(lead), np.int64)
+        at = np.empty(len(lead), np.int64)
+        old = known >= 0
+        size[old], at[old] = self.size[known[old]], self.at[known[old]]
+        size[fresh] = np.fromiter(map(len, ids), np.int64, len(ids))
+        at[fresh] = len(self.pool) + np.cumsum(size[fresh]) - size[fresh]
+        pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), self.dtype)])
+        length = size[inverse]
+        stop = np.cumsum(length)
+        out = pool[np.repeat(at[inverse] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+        self._keep(ranked[leads][fresh], pieces.check[lead][fresh], at[fresh], size[fresh], pool)
+        return out, np.concatenate([[0], stop])[pieces.first]
+
+    def _keep(self, hashes: np.ndarray, checks: np.ndarray, at: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
+        if len(self.hash) + len(hashes) > self.limit:
+            self._clear()
+            return
+        where = np.searchsorted(self.hash, hashes)
+        self.hash, self.check = np.insert(self.hash, where, hashes), np.insert(self.check, where, checks)
+        self.at, self.size = np.insert(self.at, where, at), np.insert(self.size, where, size.astype(np.int32))
+        self.pool = pool

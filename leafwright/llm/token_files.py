@@ -42,14 +42,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.llm.common import pieces, read_table, shared_dir
-from leafwright.llm.pretokens import split
+from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 FRAME_IDS = 1 << 24
 LEVEL = 3
-MEMO_PIECES = 1 << 19
-MEMO_CHARS = 48
+#: Text bytes that are encoded at a time.
+ENCODED_BYTES = 2 << 20
+#: Distinct pieces that a worker remembers, at some 30 bytes each, before it starts anew.
+MEMO_PIECES = 3_000_000
 
 INDEX_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _FOOTER = struct.Struct("<IBI")
@@ -68,21 +70,16 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's name in a text is ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
+        self.memo = PieceMemo(self.dtype, MEMO_PIECES)
+
+    def _ids(self, fresh: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text with the end id, in the encoder's id width."""
-        cut = [split(x) if x else [] for x in texts]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        memo = self.memo
-        missing = list({p for found in cut for p in found if p not in memo})
-        fresh = {p: np.asarray(x.ids, self.dtype).tobytes() for p, x in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True)}
-        memo.update((p, x) for p, x in fresh.items() if len(p) <= MEMO_CHARS)
+        ids, at = self.memo.encode(scan([x or "" for x in texts]), self._ids)
         end = np.asarray([END_ID], self.dtype).tobytes()
-        one = fresh if len(fresh) > len(memo) else memo
-        other = memo if one is fresh else fresh
-        return [b"".join([x if (x := one.get(p)) is not None else other[p] for p in found]) + end for found in cut]
+        return [ids[lo:hi].tobytes() + end for lo, hi in zip(at[:-1], at[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -96,7 +93,7 @@ def encode_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, limit=ENCODED_BYTES):
                 ids = own.encode_all(part.column(1).to_pylist())
                 width = pa.array(np.full(len(ids), own.dtype.itemsize, np.int32))
                 yield pa.record_batch([part.column(0), width, pa.array(ids, pa.binary())], names=["key", "width", "ids"])
