@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +25,21 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: dict[int, int],
         chosen = chosen.unionByName(part)
     chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"))
     return docs.drop("label").join(F.broadcast(chosen), "doc_id")
+
+
+def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of a logistic curve through scores with labels, by Newton steps on smoothed targets."""
+    n1, n0 = y.sum(), (1 - y).sum()
+    target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    a, b = 1.0, 0.0
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
+        w = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([((p - target) * z).sum(), (p - target).sum()])
+        h = np.array([[(w * z * z).sum() + 1e-6, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
+        step = np.linalg.solve(h, g)
+        step *= min(1, 2 / max(1e-9, abs(step).max()))
+        a, b = a - step[0], b - step[1]
+        if abs(step).max() < 1e-9:
+            break
+    return float(a), float(b)
