@@ -174,3 +174,41 @@ def window_hash(values: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows with equal values in the first ``keys`` columns, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        for k in range(keys):
+            values = np.asarray(batch.column(k))
+            change[1:] |= values[1:] != values[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            part = batch.slice(lo, hi - lo)
+            key = tuple(part.column(k)[0].as_py() for k in range(keys))
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For n nodes in ascending order and links a-b between them, the least node that each reaches."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
