@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: One module for each operator; each has QUERIES and, where SQL can express it, ORACLE_SQL.
-MODULES = ("byte_bpe", "token_files", "line_dedup", "secret_scan", "decontaminate", "quality", "toxicity", "embedding_dedup", "minhash_dedup")
+MODULES = ("byte_bpe", "token_files", "line_dedup", "secret_scan", "decontaminate", "quality", "toxicity", "embedding_dedup", "minhash_dedup", "substring_dedup")
 
 
 def _merged(attribute: str) -> dict:
