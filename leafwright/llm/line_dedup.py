@@ -234,15 +234,24 @@ class LineIndex:
         lost = self.possible(self.postings).join(enough, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
         return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
 
+    def _judged(self, docs: DataFrame) -> DataFrame:
+        """Each row of docs with its lines and those that stay."""
+        lost = self.dropped().withColumnRenamed("doc_id", "lost_id")
+        joined = docs.join(lost.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("lost_id")), "left")
+        marked = f"zip_with(lines, {_KEYS}, (line, k) -> IF(char_length(k) >= {int(self.min_chars)} AND array_contains(dropped, {_HASHED}), NULL, line))"
+        stay = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.expr(f"filter({marked}, x -> x IS NOT NULL)"))
+        return joined.withColumn("lines", F.expr("split(coalesce(text, ''), '\\n', -1)")).withColumn("stay", stay)
+
     def decide(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_lines, n_dropped and kept, the text of the lines that stay; a row for each row of docs."""
-        lost = self.dropped().withColumnRenamed("doc_id", "lost_id")
         given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        joined = given.join(lost.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("lost_id")), "left")
-        lines = F.expr("split(coalesce(text, ''), '\\n', -1)")
-        marked = f"zip_with(lines, {_KEYS}, (line, k) -> IF(char_length(k) >= {int(self.min_chars)} AND array_contains(dropped, {_HASHED}), NULL, line))"
-        kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.expr(f"filter({marked}, x -> x IS NOT NULL)"))
-        return joined.select("doc_id", "text", "dropped", lines.alias("lines")).select("doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(kept)).cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("kept"))
+        return self._judged(given).select("doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"), F.array_join("stay", "\n").alias("kept"))
+
+    def rewrite(self, docs: DataFrame) -> DataFrame:
+        """The rows of docs with the text of the lines that stay; a null text stays null."""
+        given = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns], F.col("doc_id"), F.col("text").cast("string").alias("text"))
+        text = F.when(F.col("text").isNotNull(), F.array_join("stay", "\n"))
+        return self._judged(given).select(*[text.alias(c) if c == "text" else F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 
 def digests(docs: DataFrame) -> DataFrame:
