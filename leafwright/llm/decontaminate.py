@@ -179,7 +179,7 @@ def stored_phrases(phrases: DataFrame) -> str:
 def _block(folder: str, path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     store, _ = pafs.FileSystem.from_uri(folder)
     rows = pq.read_table(path, filesystem=store)
-    terms = np.frombuffer(b"".join(rows["terms"].to_pylist()), "<u8").reshape(rows.num_rows, -1)
+    terms = np.frombuffer(b"".join(rows["terms"].to_pylist()), "<u8").reshape(rows.num_rows, -1 if rows.num_rows else WINDOW)
     return rows["item"].to_pylist(), np.asarray(rows["length"], np.int64), terms
 
 
