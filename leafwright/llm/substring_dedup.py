@@ -204,8 +204,9 @@ def _dealt(docs: DataFrame, places: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text, places): each document with the windows that also start earlier, as runs of windows."""
     found = anchor_rows(docs)
-    often = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    again = checkpointed(found.join(often.hint("shuffle_hash"), "name"))
+    # Read from the shared folder, both sides of the join are plain exchanges, so a name that is everywhere is split.
+    often = checkpointed(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"))
+    again = checkpointed(found.join(often, "name"))
     least = F.min(F.struct("doc_id", "place"))
     prints = checkpointed(again.groupBy("name", "print").agg(least.alias("lead"), F.count(F.lit(1)).alias("n")))
     copies = again.join(prints.where("n > 1"), ["name", "print"]).where(~F.struct("doc_id", "place").eqNullSafe(F.col("lead"))).select("doc_id", "place")
