@@ -7,7 +7,7 @@ one token back, until every adjacent pair is compatible: two tokens may stand si
 by side only if the merge rules would not have joined anything across their border.
 A sequence whose pairs are all compatible is the one that the merges produce. Dead
 ends are marked by position, so no position is left twice and time is linear in the
-piece. Pair checks and short pieces are memoised.
+piece. Pair checks and the ids of pieces are memoised.
 
 Null text counts as empty: no tokens. Rows are independent, so repeated rows give
 repeated results; other columns of the input are ignored.
@@ -27,14 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.llm.common import pieces, read_table
-from leafwright.llm.pretokens import split
+from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Pieces and pairs that a worker remembers before it starts anew.
-MEMO_PIECES = 1 << 19
-MEMO_PAIRS = 1 << 20
-#: Pieces longer than this are encoded each time.
-MEMO_CHARS = 48
+#: Distinct pieces, at some 30 bytes each, and adjacent pairs that a worker remembers before it starts anew.
+MEMO_PIECES = 2_000_000
+MEMO_PAIRS = 1 << 19
 
 
 class ByteBpe:
@@ -60,8 +58,8 @@ class ByteBpe:
             if len(word) > 1 and (halves := self._halves(word, rank)):
                 self.halves[rank] = halves
                 self.joined[halves] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.memo = PieceMemo(np.dtype("<u4"), MEMO_PIECES)
 
     def _halves(self, word: bytes, rank: int) -> tuple[int, int] | None:
         """The pair whose merge makes a token: what its bytes come to under all earlier merges."""
@@ -80,7 +78,7 @@ class ByteBpe:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges, run over both tokens' bytes, would leave exactly these two."""
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MEMO_PAIRS:
@@ -130,19 +128,13 @@ class ByteBpe:
                 at -= len(token[trial])
         return out
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, at = self.memo.encode(scan([x or "" for x in texts]), lambda fresh: [self.encode_piece(x) for x in fresh])
+        return [ids[lo:hi].tobytes() for lo, hi in zip(at[:-1], at[1:], strict=True)]
+
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        memo, found = self.memo, []
-        for piece in split(text):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = np.asarray(self.encode_piece(piece), "<u4").tobytes()
-                if len(piece) <= MEMO_CHARS:
-                    if len(memo) >= MEMO_PIECES:
-                        memo.clear()
-                    memo[piece] = ids
-            found.append(ids)
-        return b"".join(found)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -166,7 +158,7 @@ def encode_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", r
         bpe = load(ranks)
         for batch in batches:
             for part in pieces(batch):
-                ids = [bpe.encode(x or "") for x in part.column(1).to_pylist()]
+                ids = bpe.encode_all(part.column(1).to_pylist())
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that are scanned at a time; a longer single text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -212,3 +212,46 @@ def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if (new == label).all():
             return label
         label = new
+
+
+class SortedMemo:
+    """Rows by 64-bit key in sorted arrays, a few bytes an entry: a large part, and a small one that joins it now and then.
+
+    A worker keeps one between batches; beyond ``limit`` entries it starts anew.
+    """
+
+    def __init__(self, limit: int, **dtypes: np.dtype):
+        self.limit, self.dtypes = limit, {"key": np.dtype(np.uint64)} | dtypes
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts = [{k: np.zeros(0, t) for k, t in self.dtypes.items()} for _ in range(2)]
+
+    def find(self, keys: np.ndarray, **same: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Which keys are known, with all of ``same`` equal too, and the columns of their rows."""
+        known = np.zeros(len(keys), bool)
+        out = {k: np.zeros(len(keys), t) for k, t in self.dtypes.items() if k != "key"}
+        for part in self.parts:
+            if len(part["key"]):
+                at = np.minimum(np.searchsorted(part["key"], keys), len(part["key"]) - 1)
+                here = (part["key"][at] == keys) & np.logical_and.reduce([part[k][at] == v for k, v in same.items()] or [True])
+                known |= here
+                for k in out:
+                    out[k][here] = part[k][at[here]]
+        return known, out
+
+    def add(self, keys: np.ndarray, **columns: np.ndarray) -> bool:
+        """Adds rows of sorted keys that are not known; False if the memo was full and is empty now."""
+        main, recent = self.parts
+        if len(main["key"]) + len(recent["key"]) + len(keys) > self.limit:
+            self.clear()
+            return False
+        recent = self._merged(recent, {"key": keys} | columns)
+        if len(recent["key"]) > max(50_000, len(main["key"]) // 4):
+            main, recent = self._merged(main, recent), {k: v[:0] for k, v in recent.items()}
+        self.parts = [main, recent]
+        return True
+
+    def _merged(self, a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        where = np.searchsorted(a["key"], b["key"])
+        return {k: np.insert(a[k], where, b[k].astype(t)) for k, t in self.dtypes.items()}

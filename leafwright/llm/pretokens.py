@@ -12,7 +12,7 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from leafwright.llm.common import mix
+from leafwright.llm.common import SortedMemo, mix
 
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: The same split for texts in which `\w`, `\d` and `\s` of the standard library mean what the pattern's classes mean.
@@ -121,19 +121,9 @@ class PieceMemo:
     """
 
     def __init__(self, dtype: np.dtype, limit: int):
-        self.dtype, self.limit = dtype, limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.pool = np.zeros(0, self.dtype)
-
-    def _find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        if not len(self.hash):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where((self.hash[at] == hashes) & (self.check[at] == checks), at, -1)
+        self.dtype = dtype
+        self.rows = SortedMemo(limit, check=np.dtype(np.uint64), at=np.dtype(np.int64), size=np.dtype(np.int32))
+        self.pool, self.used = np.zeros(1 << 16, dtype), 0
 
     def encode(self, pieces: Pieces, encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and n + 1 offsets of the texts; ``encode`` gets the pieces that are new."""
@@ -141,32 +131,26 @@ class PieceMemo:
         ranked = pieces.hash[order]
         leads = np.ones(len(order), bool)
         leads[1:] = ranked[1:] != ranked[:-1]
-        lead = order[leads]
+        lead, keys = order[leads], ranked[leads]
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(leads) - 1
-        if not (pieces.check[lead][inverse] == pieces.check).all():
+        check = pieces.check[lead]
+        if not (check[inverse] == pieces.check).all():
             raise ValueError("two pieces share a hash")  # 2**-64 a pair, within one batch
-        known = self._find(ranked[leads], pieces.check[lead])
-        fresh = np.flatnonzero(known < 0)
+        known, found = self.rows.find(keys, check=check)
+        fresh = np.flatnonzero(~known)
         ids = encode([pieces.piece(k) for k in lead[fresh].tolist()])
-        size = np.empty(len(lead), np.int64)
-        at = np.empty(len(lead), np.int64)
-        old = known >= 0
-        size[old], at[old] = self.size[known[old]], self.at[known[old]]
+        size, at = found["size"].astype(np.int64), found["at"]
         size[fresh] = np.fromiter(map(len, ids), np.int64, len(ids))
-        at[fresh] = len(self.pool) + np.cumsum(size[fresh]) - size[fresh]
-        pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), self.dtype)])
+        more = int(size[fresh].sum())
+        if self.used + more > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + more + len(self.pool) // 4, self.dtype)])
+        at[fresh] = self.used + np.cumsum(size[fresh]) - size[fresh]
+        self.pool[self.used : self.used + more] = np.fromiter((i for x in ids for i in x), self.dtype, more)
+        self.used += more
         length = size[inverse]
         stop = np.cumsum(length)
-        out = pool[np.repeat(at[inverse] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
-        self._keep(ranked[leads][fresh], pieces.check[lead][fresh], at[fresh], size[fresh], pool)
+        out = self.pool[np.repeat(at[inverse] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+        if not self.rows.add(keys[fresh], check=check[fresh], at=at[fresh], size=size[fresh]):
+            self.used = 0
         return out, np.concatenate([[0], stop])[pieces.first]
-
-    def _keep(self, hashes: np.ndarray, checks: np.ndarray, at: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
-        if len(self.hash) + len(hashes) > self.limit:
-            self._clear()
-            return
-        where = np.searchsorted(self.hash, hashes)
-        self.hash, self.check = np.insert(self.hash, where, hashes), np.insert(self.check, where, checks)
-        self.at, self.size = np.insert(self.at, where, at), np.insert(self.size, where, size.astype(np.int32))
-        self.pool = pool

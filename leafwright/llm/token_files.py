@@ -49,9 +49,9 @@ END_ID = 2
 FRAME_IDS = 1 << 24
 LEVEL = 3
 #: Text bytes that are encoded at a time.
-ENCODED_BYTES = 2 << 20
+ENCODED_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers, at some 30 bytes each, before it starts anew.
-MEMO_PIECES = 3_000_000
+MEMO_PIECES = 2_000_000
 
 INDEX_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _FOOTER = struct.Struct("<IBI")

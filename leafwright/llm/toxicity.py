@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, Words, pieces, read_table, scan_words
+from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, pieces, read_table, scan_words
 from leafwright.llm.labelled import remainder, sample
 
 #: Labelled documents of each class that training takes at most.
@@ -56,7 +56,7 @@ POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 80, 120
 ROUNDS = 3
 LOWEST = -2.0
 #: Words that a worker remembers.
-MEMO = 3_000_000
+MEMO = 2_000_000
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789" + "àâäáãåæçèéêëìíîïñòóôöõœùúûüß"
 GAP, START = 0, 1
@@ -143,7 +143,7 @@ class KernelMachine:
         self.bias = 0.0
         self.centre, self.spread = np.zeros(6), np.ones(6)
         self.slope, self.shift = np.zeros(6), 0.0
-        self._memo: tuple[np.ndarray, np.ndarray] | None = None
+        self._memo: SortedMemo | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_memo": None}
@@ -191,18 +191,13 @@ class KernelMachine:
         return weighed(doc, margin, len(text))
 
     def _recalled(self, words: Words, distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
-        keys, values = self._memo or (np.zeros(0, np.uint64), np.zeros(0))
-        place = np.minimum(np.searchsorted(keys, distinct), max(0, len(keys) - 1))
-        known = keys[place] == distinct if len(keys) else np.zeros(len(distinct), bool)
-        out = np.empty(len(distinct))
-        out[known] = values[place[known]]
+        if self._memo is None:
+            self._memo = SortedMemo(MEMO, margin=np.dtype(np.float64))
+        known, found = self._memo.find(distinct)
+        out = found["margin"]
         new = np.flatnonzero(~known)
         out[new] = self.margins([codes(words.text(k).decode("utf-8", "replace")) for k in at[new].tolist()])
-        if len(keys) + len(new) > MEMO:
-            self._memo = None
-        else:
-            where = np.searchsorted(keys, distinct[new])
-            self._memo = np.insert(keys, where, distinct[new]), np.insert(values, where, out[new])
+        self._memo.add(distinct[new], margin=out[new])
         return out
 
 
