@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import pieces, read_table
+from leafwright.llm.common import mapped, pieces, read_table
 from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Distinct pieces, at some 30 bytes each, and adjacent pairs that a worker remembers before it starts anew.
-MEMO_PIECES = 2_000_000
+MEMO_PIECES = 1_000_000
 MEMO_PAIRS = 1 << 19
 
 
@@ -162,7 +162,7 @@ def encode_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", r
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(run, "key long, ids binary").withColumnRenamed("key", key)
+    return mapped(given, run, "key long, ids binary").withColumnRenamed("key", key)
 
 
 def decode_documents(encoded: DataFrame, key: str = "doc_id", ranks: str = DEFAULT_RANKS) -> DataFrame:
@@ -177,7 +177,7 @@ def decode_documents(encoded: DataFrame, key: str = "doc_id", ranks: str = DEFAU
                 yield pa.record_batch([part.column(0), ids, pa.array(decoded, pa.binary())], names=["key", "ids", "decoded"])
 
     given = encoded.select(F.col(key).cast("long").alias("key"), "ids")
-    return given.mapInArrow(run, "key long, ids binary, decoded binary").withColumnRenamed("key", key)
+    return mapped(given, run, "key long, ids binary, decoded binary").withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:

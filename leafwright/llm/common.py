@@ -2,23 +2,53 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Text bytes that are scanned at a time; a longer single text is a piece of its own.
 PIECE_BYTES = 1 << 20
 
 
+#: Bytes that Spark and a Python worker exchange at a time.
+BATCH_BYTES = 8 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Hands freed memory back to the machine; else a worker keeps its highest use for good."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """df.mapInArrow over batches of bounded size, by workers that give memory back after each."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            release()
+
+    return df.mapInArrow(lambda batches: run(settled(batches)), schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares; it is set here only where the session has none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

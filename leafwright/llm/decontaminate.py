@@ -33,7 +33,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import ALNUM_SPLIT, pieces, read_table, scan_words, shared_dir
+from leafwright.llm.common import ALNUM_SPLIT, mapped, pieces, read_table, scan_words, shared_dir
 
 WINDOW = 8
 #: An item counts towards contamination from this many items on.
@@ -62,7 +62,7 @@ def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
                 yield pa.record_batch([pa.array([x], pa.binary()) for x in row], names=["keys", "first", "terms", "counts", "positions"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(run, SEGMENT)
+    return mapped(given, run, SEGMENT)
 
 
 @dataclass
@@ -165,7 +165,7 @@ def phrases_of(items: DataFrame, text: str = "text", key: str = "item_id", windo
             yield pa.record_batch([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.int32()), pa.array([x[2] for x in rows], pa.binary())], names=["item", "length", "terms"])
 
     given = items.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return given.mapInArrow(run, "item string, length int, terms binary").distinct()
+    return mapped(given, run, "item string, length int, terms binary").distinct()
 
 
 def stored_phrases(phrases: DataFrame) -> str:
@@ -215,7 +215,7 @@ def search(index: DataFrame, phrases: str) -> DataFrame:
                     names=["doc_id", "n_words", "n_hit", "items"],
                 )
 
-    return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<string>")
+    return mapped(index, run, "doc_id long, n_words long, n_hit long, items array<string>")
 
 
 def search_near(index: DataFrame, phrases: str, slack: int = 2 * WINDOW) -> DataFrame:
@@ -233,7 +233,7 @@ def search_near(index: DataFrame, phrases: str, slack: int = 2 * WINDOW) -> Data
                             found[d].add(item[p])
                 yield pa.record_batch([pa.array(segment.keys, pa.int64()), pa.array([sorted(x) for x in found], pa.list_(pa.string()))], names=["doc_id", "items"])
 
-    return index.mapInArrow(run, "doc_id long, items array<string>")
+    return mapped(index, run, "doc_id long, items array<string>")
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:

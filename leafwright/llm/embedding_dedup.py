@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import checkpointed, groups, least_labels, mix, read_table
+from leafwright.llm.common import checkpointed, groups, least_labels, mapped, mix, read_table
 from leafwright.llm.components import components
 
 THRESHOLD = 0.93
@@ -94,7 +94,7 @@ def _hashed(classes: DataFrame) -> DataFrame:
 
     value = dict(classes.dtypes)["embedding"]
     given = classes.select("class_id", "label", "embedding", "dimensions", "copies")
-    return given.mapInArrow(run, f"t int, bucket long, class_id long, place long, embedding {value}, copies long")
+    return mapped(given, run, f"t int, bucket long, class_id long, place long, embedding {value}, copies long")
 
 
 def hash_text(x: str) -> int:
@@ -144,7 +144,7 @@ def linked(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     dealt = _blocks(checkpointed(_hashed(classes)))
     dealt = dealt.repartition("t", "bucket", "i", "j").sortWithinPartitions("t", "bucket", "i", "j")
-    return dealt.mapInArrow(run, "class_id long, n long, root long")
+    return mapped(dealt, run, "class_id long, n long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

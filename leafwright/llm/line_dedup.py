@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import checkpointed, mix, read_table
+from leafwright.llm.common import checkpointed, mapped, mix, read_table
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -226,7 +226,7 @@ class LineIndex:
                         keep[mine] = held[k].contains(h1[mine])
                 yield batch.filter(pa.array(keep))
 
-        return postings.mapInArrow(run, "h1 long, h2 long, doc_id long")
+        return mapped(postings, run, "h1 long, h2 long, doc_id long")
 
     def dropped(self) -> DataFrame:
         """(doc_id, dropped): for each document that loses lines, their keys."""

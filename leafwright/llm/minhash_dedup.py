@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, checkpointed, groups, least_labels, mix, pieces, read_table, scan_words, window_hash
+from leafwright.llm.common import BLANK_SPLIT, checkpointed, groups, least_labels, mapped, mix, pieces, read_table, scan_words, window_hash
 from leafwright.llm.components import components
 
 SHINGLE = 5
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch(columns, names=["doc_id", "n_shingles", "print", "print2", "bands", "sketch"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, n_shingles long, print long, print2 long, bands array<long>, sketch binary")
+    return mapped(given, run, "doc_id long, n_shingles long, print long, print2 long, bands array<long>, sketch binary")
 
 
 def _dealt(rows: DataFrame, keys: list[str], blocks, columns: list[str]) -> DataFrame:
@@ -145,7 +145,7 @@ def candidate_links(kept: DataFrame) -> DataFrame:
     shared = checkpointed(banded.join(counts, ["band", "name"]))
     rows = shared.join(kept.select("doc_id", "sketch"), "doc_id")
     dealt = _dealt(rows, ["band", "name"], F.ceil(F.col("n") / BUCKET_BLOCK), ["doc_id", "sketch"])
-    return dealt.mapInArrow(run, "doc_id long, root long")
+    return mapped(dealt, run, "doc_id long, root long")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -198,9 +198,9 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT)
     counts = checkpointed(members.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")))
     sized = checkpointed(members.join(counts, "component_id").select("doc_id", F.col("component_id").alias("grouped"), "n"))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hashed = given.join(sized.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "grouped", "n").mapInArrow(sets_of, "doc_id long, grouped long, n long, hashes binary")
+    hashed = mapped(given.join(sized.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "grouped", "n"), sets_of, "doc_id long, grouped long, n long, hashes binary")
     blocks = F.greatest(F.least(F.ceil(F.col("n") / 64), F.lit(32)), F.ceil(F.col("n") / 1024))
-    return _dealt(hashed, ["grouped"], blocks, ["doc_id", "hashes"]).mapInArrow(run, "doc_id long, root long")
+    return mapped(_dealt(hashed, ["grouped"], blocks, ["doc_id", "hashes"]), run, "doc_id long, root long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

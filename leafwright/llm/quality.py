@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, pieces, read_table, scan_words
+from leafwright.llm.common import BLANK_SPLIT, mapped, pieces, read_table, scan_words
 from leafwright.llm.labelled import remainder, sample
 
 #: Labelled documents of each class that training takes at most.
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = TRAIN_ROWS)
                 yield pa.record_batch([part.column(0), part.column(3), pa.array(cut(x.index), pa.binary()), pa.array(cut(x.value.astype(np.float16)), pa.binary())], names=["doc_id", "label", "index", "value"])
 
     given = sample(_given(docs), labels, "quality", rows, DIVISOR, HELD_OUT).select("doc_id", "text", "n_chars", "label")
-    found = sorted(given.mapInArrow(run, "doc_id long, label int, index binary, value binary").collect())
+    found = sorted(mapped(given, run, "doc_id long, label int, index binary, value binary").collect())
     machine = FactorisationMachine()
     if found:
         index = [np.frombuffer(x["index"], np.int32) for x in found]
@@ -198,7 +198,7 @@ def score(docs: DataFrame, machine: FactorisationMachine) -> DataFrame:
                 found = sent.value.score(features(part.column(1), _stated(part)))
                 yield pa.record_batch([part.column(0), pa.array(found)], names=["doc_id", "score"])
 
-    return _given(docs).mapInArrow(run, "doc_id long, score double")
+    return mapped(_given(docs), run, "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, machine: FactorisationMachine, threshold: float = THRESHOLD) -> DataFrame:
@@ -213,7 +213,7 @@ def accepted(docs: DataFrame, machine: FactorisationMachine, threshold: float =
                 said = np.asarray(part.column(stated).cast(pa.float64()).fill_null(np.nan), float) if stated is not None else np.full(part.num_rows, np.nan)
                 yield part.filter(pa.array(sent.value.score(features(part.column(text), said)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

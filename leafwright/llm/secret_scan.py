@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import pieces, read_table
+from leafwright.llm.common import mapped, pieces, read_table
 
 KINDS = ("assign", "access", "hex")
 NET = "net"
@@ -277,7 +277,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", settings: Set
                 yield pa.record_batch([part.column(0), pa.array(out, arrow)], names=["key", "spans"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(run, f"key long, spans {kind}").withColumnRenamed("key", key)
+    return mapped(given, run, f"key long, spans {kind}").withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame) -> DataFrame:

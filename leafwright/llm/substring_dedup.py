@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, checkpointed, mix, pieces, read_table, scan_words, window_hash
+from leafwright.llm.common import BLANK_SPLIT, checkpointed, mapped, mix, pieces, read_table, scan_words, window_hash
 
 WINDOW = 20
 ROUNDS = 2
@@ -169,7 +169,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 doc, start, count, name, covered = anchors(words.hash, words.first)
                 yield pa.record_batch([pa.array(name.view(np.int64)), pa.array(covered.view(np.int64)), part.column(0).take(pa.array(doc)), pa.array(start << 8 | count)], names=["name", "print", "doc_id", "place"])
 
-    return docs.mapInArrow(run, "name long, print long, doc_id long, place long")
+    return mapped(docs, run, "name long, print long, doc_id long, place long")
 
 
 def _window_rows(listed: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _window_rows(listed: DataFrame) -> DataFrame:
                 at = words.first[row] + start
                 yield pa.record_batch([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), part.column(0).take(pa.array(row)), pa.array(start << 8 | 1)], names=["h1", "h2", "doc_id", "place"])
 
-    return listed.mapInArrow(run, "h1 long, h2 long, doc_id long, place long")
+    return mapped(listed, run, "h1 long, h2 long, doc_id long, place long")
 
 
 def _dealt(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -243,7 +243,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return repeated(given).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
+    return mapped(repeated(given), run, "doc_id long, n_words long, n_removed long, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import pieces, read_table, shared_dir
+from leafwright.llm.common import mapped, pieces, read_table, shared_dir
 from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,7 +51,7 @@ LEVEL = 3
 #: Text bytes that are encoded at a time.
 ENCODED_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers, at some 30 bytes each, before it starts anew.
-MEMO_PIECES = 2_000_000
+MEMO_PIECES = 1_000_000
 
 INDEX_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _FOOTER = struct.Struct("<IBI")
@@ -99,7 +99,7 @@ def encode_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", t
                 yield pa.record_batch([part.column(0), width, pa.array(ids, pa.binary())], names=["key", "width", "ids"])
 
     given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(run, "key long, width int, ids binary")
+    return mapped(given, run, "key long, width int, ids binary")
 
 
 class FrameWriter:
@@ -202,7 +202,7 @@ def write_files(encoded: DataFrame, folder: str) -> list[tuple[int, str, int, in
 
     store, root = filesystem(folder)
     store.create_dir(root, recursive=True)
-    found = encoded.mapInArrow(run, "part long, path string, n_docs long, n_ids long").collect()
+    found = mapped(encoded, run, "part long, path string, n_docs long, n_ids long").collect()
     return sorted(tuple(x) for x in found)
 
 
@@ -239,7 +239,7 @@ def read_digests(spark: SparkSession, files: list[tuple[int, str, int, int]], fo
     starts = np.concatenate([[0], np.cumsum([x[3] for x in files])]).tolist()
     rows = [(x[1], start) for x, start in zip(files, starts, strict=False)]
     given = spark.createDataFrame(rows, "path string, base long").repartition(max(1, len(rows)))
-    return given.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return mapped(given, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, pieces, read_table, scan_words
+from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, mapped, pieces, read_table, scan_words
 from leafwright.llm.labelled import remainder, sample
 
 #: Labelled documents of each class that training takes at most.
@@ -56,7 +56,7 @@ POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 80, 120
 ROUNDS = 3
 LOWEST = -2.0
 #: Words that a worker remembers.
-MEMO = 2_000_000
+MEMO = 1_000_000
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789" + "àâäáãåæçèéêëìíîïñòóôöõœùúûüß"
 GAP, START = 0, 1
@@ -398,7 +398,7 @@ def score(docs: DataFrame, machine: KernelMachine) -> DataFrame:
                 yield pa.record_batch([part.column(0), pa.array(own.probability(own.evidence(part.column(1))))], names=["doc_id", "score"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, score double")
+    return mapped(given, run, "doc_id long, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
