@@ -1 +1 @@
-"""Leafwright: a Spark-first engine for scholarly documents."""
+"""Column expressions and plain-Python text rules shared by the operators."""

@@ -1 +1 @@
-"""Leafwright: a Spark-first engine for scholarly documents."""
+"""Operators of the document model: DataFrame in, DataFrame out."""

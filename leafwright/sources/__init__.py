@@ -1 +1 @@
-"""Leafwright: a Spark-first engine for scholarly documents."""
+"""Readers and writers of the engine's files."""

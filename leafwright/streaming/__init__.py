@@ -1 +1 @@
-"""Leafwright: a Spark-first engine for scholarly documents."""
+"""Incremental work on arriving files."""
