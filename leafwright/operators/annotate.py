@@ -50,19 +50,19 @@ def units(paragraphs: DataFrame, kind: Pass, model: str, sections: tuple[str, ..
 
 
 def _usable(kind: Pass) -> Column:
+    """Whether a stored result still fits: known role and texts, or as many sentences as the unit has."""
     if kind.name == "paragraph":
-        return F.col("role").isin(*ROLES) & F.col("gist").isNotNull() & F.col("plain").isNotNull()
-    return F.col("cached.sentences").isNotNull() & (F.size("cached.sentences") == F.size("sentences"))
+        return F.col("cached.role").isin(*ROLES) & F.col("cached.gist").isNotNull() & F.col("cached.plain").isNotNull()
+    return F.size("cached.sentences") == F.size("sentences")
 
 
 def probed(found: DataFrame, cache: DataFrame, kind: Pass, force: bool = False) -> DataFrame:
     """Units with ``cached``: the stored result, or null on a miss, an unusable entry or if forced."""
     stored = cache.where((F.col("pass") == kind.name) & F.lit(not force)).select("cache_key", F.struct(*_RESULT_FIELDS).alias("cached")).dropDuplicates(["cache_key"])
     joined = found.join(stored, "cache_key", "left")
-    usable = F.col("cached.role").isin(*ROLES) & F.col("cached.gist").isNotNull() & F.col("cached.plain").isNotNull() if kind.name == "paragraph" else _usable(kind)
-    ids = F.transform(F.arrays_zip("cached.sentences", "sentences"), lambda z: z["0"].withField("sentence_id", z["sentences"]["sentence_id"]))
+    ids = F.zip_with("cached.sentences", "sentences", lambda c, s: c.withField("sentence_id", s["sentence_id"]))
     restored = F.col("cached") if kind.name == "paragraph" else F.col("cached").withField("sentences", ids)
-    return joined.withColumn("cached", F.when(usable, restored))
+    return joined.withColumn("cached", F.when(_usable(kind), restored))
 
 
 def batched(misses: DataFrame, limit: int, max_requests: int | None = None, size: Column | None = None, group: str = "article_id") -> DataFrame:
