@@ -31,8 +31,8 @@ from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Distinct pieces, at some 30 bytes each, and adjacent pairs that a worker remembers before it starts anew.
-MEMO_PIECES = 1_000_000
-MEMO_PAIRS = 1 << 19
+MEMO_PIECES = 600_000
+MEMO_PAIRS = 1 << 16
 
 
 class ByteBpe:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 #: Text bytes that are scanned at a time; a longer single text is a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 512 << 10
 
 
 #: Bytes that Spark and a Python worker exchange at a time.

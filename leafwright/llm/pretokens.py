@@ -48,7 +48,7 @@ def _power(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     if k not in _powers or len(_powers[k][0]) < n:
         runs = []
         for base in (_BASES[k], np.uint64(pow(int(_BASES[k]), -1, 1 << 64))):
-            run = np.full(max(n, 1 << 20), base, np.uint64)
+            run = np.full(max(n, 1 << 19), base, np.uint64)
             run[0] = 1
             runs.append(np.cumprod(run, dtype=np.uint64))
         _powers[k] = (runs[0], runs[1])

@@ -38,7 +38,7 @@ from leafwright.llm.common import BLANK_SPLIT, checkpointed, mapped, mix, pieces
 WINDOW = 20
 ROUNDS = 2
 #: Text bytes that are scanned at a time.
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 512 << 10
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _NONE = np.uint64((1 << 64) - 1)
 

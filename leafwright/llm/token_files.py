@@ -49,7 +49,7 @@ END_ID = 2
 FRAME_IDS = 1 << 24
 LEVEL = 3
 #: Text bytes that are encoded at a time.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 512 << 10
 #: Distinct pieces that a worker remembers, at some 30 bytes each, before it starts anew.
 MEMO_PIECES = 1_000_000
 
