@@ -130,3 +130,8 @@ def carried_figures(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def keys_for(paragraphs: DataFrame, model: str, version: str) -> DataFrame:
     return paragraphs.select("article_id", "paragraph_id", cache_key(model, version, F.col("text"), F.col("sentences")).alias("cache_key"))
+
+
+def in_order(manifest: DataFrame) -> DataFrame:
+    """The manifest by id as readers sort it, not by code."""
+    return manifest.orderBy(F.collate("article_id", "UNICODE"), "article_id")

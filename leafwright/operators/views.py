@@ -121,3 +121,56 @@ def short_authors(authors: Column) -> Column:
 def reference_title(title: Column, raw: Column) -> Column:
     """What a reference shows: its title, else the beginning of its raw text."""
     return F.coalesce(title, F.substring(raw, 1, 200), F.lit(""))
+
+
+def filtered_paragraphs(paragraphs: DataFrame, section: str | None = None, role: str | None = None, paragraph_id: str | None = None) -> DataFrame:
+    """Annotated paragraphs of a section type, a role or an id."""
+    out = paragraphs.where("gist IS NOT NULL OR plain IS NOT NULL")
+    for column, value in (("section_type", section), ("role", role), ("paragraph_id", paragraph_id)):
+        out = out if value is None else out.where(F.col(column) == value)
+    return out
+
+
+def filtered_sentences(paragraphs: DataFrame, section: str | None = None, paragraph_id: str | None = None, certainty: str | None = None) -> DataFrame:
+    """Sentences of annotated paragraphs, one a row, with their marked text; certainty is tested last."""
+    out = paragraphs
+    for column, value in (("section_type", section), ("paragraph_id", paragraph_id)):
+        out = out if value is None else out.where(F.col(column) == value)
+    each = out.select("article_id", "paragraph_id", "text", F.explode("sentences").alias("s")).where("s.certainty IS NOT NULL")
+    each = each if certainty is None else each.where(F.col("s.certainty") == certainty)
+    marked = marked_hedges(F.col("text"), F.col("s.start"), F.col("s.end"), F.col("s.hedges"))
+    return each.select("article_id", "paragraph_id", "s.sentence_id", "s.certainty", marked.alias("sentence"), F.coalesce(F.size("s.stats"), F.lit(0)).alias("n_stats"))
+
+
+def figure_totals(figures: DataFrame) -> DataFrame:
+    """(article_id, n_figures, n_graphics, n_files): how many images an article has and how many are at hand."""
+    size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c))
+    return figures.groupBy("article_id").agg(F.count(F.lit(1)).alias("n_figures"), F.sum(size("graphics")).cast("long").alias("n_graphics"), F.sum(size("files")).cast("long").alias("n_files"))
+
+
+def work_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, n) of each table."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def overview(articles: DataFrame, records: DataFrame) -> DataFrame:
+    """An article's head: authors, addresses, what each pass has applied, number of warnings."""
+    passes = records.groupBy("article_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat("pass", F.lit(": "), F.col("applied").cast("string")))), " · ").alias("passes"))
+    return articles.join(passes, "article_id", "left").select(
+        "article_id", F.coalesce("title", F.lit("")).alias("title"), F.array_join(F.transform("authors", lambda a: a["full"]), ", ").alias("authors"), "journal", "year", "doi", "pmcid",
+        F.coalesce("passes", F.lit("not enriched")).alias("passes"), F.size("warnings").cast("long").alias("n_warnings"),
+    )
+
+
+def citation_links(decorations: DataFrame, references: DataFrame) -> DataFrame:
+    """Citations (article_id, rid, ...) with where they lead; a mark that names several references gives a row for each, and one
+    that leads nowhere a null link."""
+    from leafwright.operators.text import reference_link
+
+    each = decorations.withColumn("xml_id", F.explode_outer(F.filter(F.split("rid", r"\s+"), lambda r: r != "")))
+    known = references.select("article_id", "xml_id", reference_link(F.col("pmid"), F.col("doi")).alias("link"))
+    return each.join(known, ["article_id", "xml_id"], "left")

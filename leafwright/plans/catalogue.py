@@ -600,6 +600,44 @@ def build_status(spark: SparkSession, sf: str) -> DataFrame:
     return views.build_report(table(spark, sf, "lineitem").select(F.when(F.col("l_returnflag") == "R", "error").otherwise("ok").alias("status"), (F.col("l_tax") > 0.04).cast("int").alias("n_warnings")))
 
 
+@query("""
+SELECT o_orderkey, count(l_orderkey) AS n_figures, sum(l_linenumber % 3)::BIGINT AS n_graphics, sum(CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END)::BIGINT AS n_files FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""")
+def figure_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Images of articles and how many are at hand."""
+    names = F.slice(F.array(F.lit("a.tif"), F.lit("b.tif")), F.lit(1), F.col("l_linenumber") % 3)
+    figures = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("article_id"), names.alias("graphics"), F.when(F.col("l_tax") > 0.04, F.array(F.lit("a.jpg"))).alias("files"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("article_id"))
+    return views.figure_totals(figures.join(orders, "article_id", "left_semi")).withColumnRenamed("article_id", "o_orderkey")
+
+
+@query("""
+WITH r AS (SELECT conv_id, turn, role, text, ['measured', 'supported', 'hedged'][(turn % 3)::INT + 1] AS certainty FROM conversations WHERE length(text) > 12)
+SELECT conv_id, turn, '«' || substr(text, 1, 4) || '»' || substr(text, 5, 8) AS sentence FROM r WHERE role = 'user' AND certainty = 'hedged'
+""")
+def hedged_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences of a section with a certainty, hedges marked."""
+    label = F.element_at(F.array(*map(F.lit, ("measured", "supported", "hedged"))), (F.col("turn") % 3 + 1).cast("int"))
+    sentence = F.struct(F.lit("s1").alias("sentence_id"), F.lit(0).alias("start"), F.lit(12).alias("end"), label.alias("certainty"), F.array(F.struct(F.lit(0).alias("start"), F.lit(4).alias("end"))).alias("hedges"), F.lit(None).cast(annotate.STATS).alias("stats"))
+    turns = table(spark, sf, "conversations").where(F.length("text") > 12)
+    rows = turns.select(F.col("conv_id").alias("article_id"), F.col("turn").alias("paragraph_id"), F.col("role").alias("section_type"), "text", F.array(sentence).alias("sentences"))
+    return views.filtered_sentences(rows, section="user", certainty="hedged").select(F.col("article_id").alias("conv_id"), F.col("paragraph_id").alias("turn"), "sentence")
+
+
+@query("""
+WITH d AS (SELECT l_orderkey, l_linenumber, unnest(['r' || l_partkey % 9, 'r' || l_suppkey % 9]) AS xml_id FROM lineitem),
+r AS (SELECT 'r' || k AS xml_id, CASE WHEN k % 3 = 0 THEN 'https://pubmed.ncbi.nlm.nih.gov/' || k || '/' WHEN k % 3 = 1 THEN 'https://doi.org/10.1/' || k END AS link FROM range(0, 6) t(k))
+SELECT l_orderkey, l_linenumber, d.xml_id, r.link FROM d LEFT JOIN r ON r.xml_id = d.xml_id
+""")
+def citation_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Where citations lead, also of marks that name several references."""
+    name = lambda c: F.concat(F.lit("r"), (F.col(c) % 9).cast("string"))
+    marks = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.lit("x").alias("article_id"), F.concat(name("l_partkey"), F.lit("  "), name("l_suppkey")).alias("rid"))
+    k = F.col("id").cast("string")
+    refs = spark.range(6).select(F.lit("x").alias("article_id"), F.concat(F.lit("r"), k).alias("xml_id"), F.when(F.col("id") % 3 == 0, k).alias("pmid"), F.when(F.col("id") % 3 < 2, F.concat(F.lit("10.1/"), k)).alias("doi"))
+    return views.citation_links(marks, refs).select("l_orderkey", "l_linenumber", "xml_id", "link")
+
+
 @query()
 def spoken(spark: SparkSession, sf: str) -> DataFrame:
     """Speech units of all paragraphs."""

@@ -69,8 +69,7 @@ def folder(root: Column, kind: str, name: Column) -> Column:
 
 def read_json_rows(spark: SparkSession, path: str, schema: str, multiline: bool = False) -> DataFrame:
     """JSON records or documents; what can't be read is left out."""
-    rows = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", multiline).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return rows.cache().where("_corrupt IS NULL").drop("_corrupt")
+    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(path)
 
 
 def write_events(events: DataFrame, path: str) -> None:

@@ -161,3 +161,16 @@ def test_entry_points(spark, monkeypatch):
     bare = entry.queries()
     assert "sentences" in bare and "pipeline" not in bare and not any(k.startswith("op1") for k in bare)
     assert "corpus_pipeline" not in entry.oracle_sql() and sys.modules
+
+
+def test_views_over_annotated_rows(spark):
+    rows = spark.createDataFrame([("a", "p1", "results", "result", "g", "p"), ("a", "p2", "methods", "method", "g", "p"), ("a", "p3", "results", None, None, None)], "article_id string, paragraph_id string, section_type string, role string, gist string, plain string")
+    found = lambda **k: [r["paragraph_id"] for r in views.filtered_paragraphs(rows, **k).orderBy("paragraph_id").collect()]
+    assert found() == ["p1", "p2"] and found(section="results") == ["p1"] and found(role="method") == ["p2"] and found(paragraph_id="p3") == []
+    assert {r["name"]: r["n"] for r in views.work_counts({"x": rows, "y": rows.limit(1)}).collect()} == {"x": 3, "y": 1}
+    names = spark.createDataFrame([("Zw",), ("huard",), ("Éa",)], "article_id string")
+    assert [r[0] for r in corpus.in_order(names).collect()] == ["Éa", "huard", "Zw"]
+    heads = article_tables(parsed(spark.createDataFrame([("x", "<article><body><p>Hi.</p></body></article>", "h")], "path string, text string, sha256 string")))["articles"]
+    runs = spark.createDataFrame([("unknown", "paragraph", 2)], "article_id string, pass string, applied long")
+    row = views.overview(heads, runs).first()
+    assert row["passes"] == "not enriched" and row["authors"] == "" and row["n_warnings"] > 0
