@@ -39,7 +39,7 @@ SHARDS = 64
 FILTER_BYTES = 32 << 20
 
 _KEYS = f"""
-transform(split(coalesce(text, ''), '\\n', -1), x -> translate(trim(BOTH ' \\t\\n\\u000b\\f\\r' FROM x),
+transform(split(coalesce(text, ''), '\\n', -1), x -> translate(trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM x),
  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))""".strip()
 _HASHED = "named_struct('h1', xxhash64(k), 'h2', xxhash64('line', k))"
 

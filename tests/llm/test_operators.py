@@ -109,6 +109,16 @@ def test_line_dedup(docs, rows):
     assert found[20][1] == found[21][1] == 1 and found[22][1] == 0
 
 
+def test_line_keys_lose_blanks_and_no_letters(spark):
+    """Lines of 20 and 21 code points with f at an end, lines that differ by a form feed, lines that differ by an f."""
+    lines = ["f" + "a" * 19, "b" * 19 + "f", "f" + "c" * 20, "d" * 20 + "f", "F" + "e" * 18 + "f", "f" + "g" * 18, "\x0c" + "h" * 20, "\x0c" + "i" * 19]
+    rows = [(k, "\n".join(lines)) for k in range(3)]
+    rows += [(3 + k, end + "for all that is said in here" + end) for k, end in enumerate(["", "\x0c", "\x0c \x0c"])]
+    rows += [(6 + k, x) for k, x in enumerate(["for one and the same line", "or one and the same line", "for one and the same linef"])]
+    found = by_id(line_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [found[k][1] for k in range(9)] == [6, 6, 0, 1, 1, 0, 0, 0, 0]
+
+
 def test_line_dedup_can_be_undone(spark, docs):
     whole = line_dedup.LineIndex.build(docs)
     half = line_dedup.LineIndex.build(docs.where("doc_id % 2 = 0"))
