@@ -30,9 +30,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*rest, "text", F.char_length("text").cast("long").alias("n_chars")).select(docs.columns)
 
 
+#: Least similarity of near-duplicates here, in percent.
+NEAR_PERCENT = 85
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates; documents without words have none and stay."""
-    gone = minhash_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    """The first document of each group of near-duplicates (similarity ``NEAR_PERCENT`` or more); documents without words have none and stay."""
+    gone = minhash_dedup.near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -2,18 +2,19 @@
 
 A document's set holds the hashes of its distinct shingles of five words (all words as one
 shingle if there are fewer). Documents of equal sets form a class, and only a class's
-smallest doc_id goes on. Its ``BANDS * ROWS`` MinHash samples make ``BANDS`` bands, and are folded into an
+smallest doc_id goes on. Its MinHash samples make bands of ``ROWS``, and are folded into an
 odd sketch: each sample flips one bit. Two sketches differ in about as many bits as
 samples differ, and from the population count z of their XOR over n bits
 
     samples that differ = -n / 4 ln(1 - 2 z / n),   similarity = 1 - that / samples
 
 which is most precise where similarities are high. Within a band's bucket, pairs whose
-estimate reaches ``LIKELY`` tie their documents to one candidate group. A group's full
+estimate is at most ``MARGIN`` points under the threshold tie their documents to one candidate group. A group's full
 sets then meet, in pairs of blocks, and links are confirmed by exact intersection sizes.
 
-A pair of similarity 0.85 shares some band but for 4e-7, and an estimate so far under
-it has odds of 1e-8. Candidates are never capped: a large bucket or group is dealt to
+The threshold sets the number of bands: a pair of just that similarity shares some band
+but for ``MISS``. 0.85 takes 20 bands, 0.80 takes 28. Of the samples of such a pair, so many
+differ that they fall under the margin with odds of 1.3e-8 at 0.85 and 1e-9 at 0.80. Candidates are never capped: a large bucket or group is dealt to
 blocks, which are compared pairwise in separate tasks; what leaves a block is one row
 for each document that joins another, not the pairs.
 
@@ -23,8 +24,10 @@ doc_id are one document for grouping; a null doc_id is linked with nothing.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +41,27 @@ SHINGLE = 5
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 85
 BANDS, ROWS = 20, 4
+#: Odds of missing a pair at the threshold; sets the number of bands for other thresholds.
+MISS = 4e-7
 SKETCH_WORDS = 16
-LIKELY = 0.6
+#: Estimates count from so many points under the threshold.
+MARGIN = 25
 #: Documents in a block of a bucket.
 BUCKET_BLOCK = 512
 #: Cells of a block's document-by-shingle matrix that are multiplied at a time.
 CELLS = 1 << 22
 
-_random = np.random.default_rng(23)
-_FACTOR = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFT = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+def bands_for(percent: int) -> int:
+    """Bands that a pair of similarity ``percent`` misses with odds of ``MISS`` at most."""
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+
+
+@lru_cache(maxsize=4)
+def _hashing(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of n samples."""
+    r = np.random.default_rng(23)
+    return r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
 def shingle_sets(text: pa.Array) -> list[np.ndarray]:
@@ -63,13 +77,14 @@ def shingle_sets(text: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def samples(sets: list[np.ndarray]) -> np.ndarray:
+def samples(sets: list[np.ndarray], bands: int = BANDS) -> np.ndarray:
     """MinHash samples of each set; the sets hold some hash each."""
     values = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), BANDS * ROWS), np.uint64)
-    for k in range(BANDS * ROWS):
-        out[:, k] = np.minimum.reduceat((values ^ _SHIFT[k]) * _FACTOR[k], at)
+    factor, shift = _hashing(bands * ROWS)
+    out = np.empty((len(sets), bands * ROWS), np.uint64)
+    for k in range(bands * ROWS):
+        out[:, k] = np.minimum.reduceat((values ^ shift[k]) * factor[k], at)
     return out
 
 
@@ -81,17 +96,17 @@ def sketch(least: np.ndarray) -> np.ndarray:
     return np.packbits(flips & 1, axis=1, bitorder="little").view("<u8")
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def estimate(a: np.ndarray, b: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """Estimated similarity of each sketch of a with each of b."""
     n = 64 * SKETCH_WORDS
     differ = np.zeros((len(a), len(b)), np.int32)
     for k in range(SKETCH_WORDS):
         differ += np.bitwise_count(a[:, k, None] ^ b[None, :, k])
     odd = np.log(np.maximum(1 - 2 * np.arange(n + 1) / n, 1e-9)) * (-n / 4)
-    return 1 - odd[differ] / (BANDS * ROWS)
+    return 1 - odd[differ] / (bands * ROWS)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, n_bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, print, print2, bands, sketch) of each row; bands and sketch are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,8 +118,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                 prints = [np.array([f(s) for s in sets], np.uint64).view(np.int64) for f in (lambda s: s.sum(dtype=np.uint64), lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
                 bands, sketches = [None] * len(sets), [None] * len(sets)
                 if len(some):
-                    least = samples([sets[k] for k in some])
-                    names = np.zeros((len(some), BANDS), np.uint64)
+                    least = samples([sets[k] for k in some], n_bands)
+                    names = np.zeros((len(some), n_bands), np.uint64)
                     for r in range(ROWS):
                         names = mix(names * np.uint64(0x9E3779B97F4A7C15) + least[:, r::ROWS])
                     folded = sketch(least)
@@ -125,8 +140,9 @@ def _dealt(rows: DataFrame, keys: list[str], blocks, columns: list[str]) -> Data
     return keyed.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
 
 
-def candidate_links(kept: DataFrame) -> DataFrame:
+def candidate_links(kept: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, root): documents tied to another one by a band and a high estimate."""
+    n_bands, likely = bands_for(percent), (percent - MARGIN) / 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, 4):
@@ -134,7 +150,7 @@ def candidate_links(kept: DataFrame) -> DataFrame:
             folded = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u8").reshape(len(ids), -1)
             order = np.argsort(ids, kind="stable")
             ids, folded = ids[order], folded[order]
-            a, b = np.nonzero(np.triu(estimate(folded, folded) >= LIKELY, 1))
+            a, b = np.nonzero(np.triu(estimate(folded, folded, n_bands) >= likely, 1))
             root = least_labels(len(ids), a, b)
             some = np.flatnonzero(root != np.arange(len(ids)))
             if len(some):
@@ -203,16 +219,16 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT)
     return mapped(_dealt(hashed, ["grouped"], blocks, ["doc_id", "hashes"]), run, "doc_id long, root long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id and whether it stays."""
-    signed = checkpointed(signatures(docs))
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id and whether it stays; ``percent`` is the least similarity of a link."""
+    signed = checkpointed(signatures(docs, bands_for(percent)))
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = checkpointed(usable.groupBy("print", "print2", "n_shingles").agg(F.min("doc_id").alias("class_id")))
     leads = classes.select("class_id", "print", "print2")
     members = usable.select("doc_id", "print", "print2").join(leads, ["print", "print2"]).select("doc_id", "class_id").distinct()
     kept = checkpointed(usable.join(leads, ["print", "print2"]).where("doc_id = class_id").select("doc_id", "bands", "sketch").dropDuplicates(["doc_id"]))
-    likely = components(candidate_links(kept)).withColumnRenamed("id", "doc_id")
-    found = components(confirmed_links(docs, checkpointed(likely)))
+    likely = components(candidate_links(kept, percent)).withColumnRenamed("id", "doc_id")
+    found = components(confirmed_links(docs, checkpointed(likely), percent))
     of_class = found.select(F.col("id").alias("class_id"), "component_id")
     of_doc = members.join(of_class, "class_id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "class_id")).alias("component_id"))
     rows = signed.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left")
@@ -223,7 +239,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-def brute_force(rows: list[tuple]) -> dict[int, tuple[int, int, bool]]:
+def brute_force(rows: list[tuple], percent: int = PERCENT) -> dict[int, tuple[int, int, bool]]:
     """doc_id -> (n_shingles, component_id, kept) by the rule as it is written, for tests."""
     lower = {k: k + 32 for k in range(65, 91)}
     sets = {}
@@ -248,7 +264,7 @@ def brute_force(rows: list[tuple]) -> dict[int, tuple[int, int, bool]]:
             for b in ks[:i]:
                 shared[a, b] = shared.get((a, b), 0) + 1
     for (a, b), n in shared.items():
-        if 100 * n >= PERCENT * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             a, b = find(a), find(b)
             root[max(a, b)] = min(a, b)
     return {k: (len(s), find(k), find(k) == k) for k, s in sets.items()}

@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage, against the plain versions of the operators."""
 
+import random
+
 import corpus_pipeline
 from leafwright.llm import byte_bpe, decontaminate, minhash_dedup
 
@@ -33,3 +35,19 @@ def test_stages(spark, tmp_path):
         else:
             assert docs.columns == columns
     assert corpus_pipeline.run(spark, SF).count() == seen["tokens"] > 0
+
+
+def test_near_duplicate_stage_at_another_threshold(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "NEAR_PERCENT", 80)
+    r = random.Random(8)
+    rows = []
+    for k in range(60):
+        words = [f"w{k}x{n}" for n in range(204)]
+        rows.append((2 * k, " ".join(words)))
+        for n in r.sample(range(0, 204, 6), 2 + k % 6):  # similarities from 0.95 to 0.70
+            words[n] = f"v{k}x{n}"
+        rows.append((2 * k + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    want = {percent: {k for k, x in minhash_dedup.brute_force(rows, percent).items() if x[2]} for percent in (80, 85)}
+    assert kept == want[80] < want[85]
