@@ -18,9 +18,9 @@ from leafwright.llm.common import read_table, shared_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; all of them if there was no label to learn from."""
     machine = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality.accepted(docs, machine)
+    return quality.accepted(docs, machine) if machine.fitted else docs
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

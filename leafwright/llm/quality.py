@@ -123,6 +123,7 @@ class FactorisationMachine:
         self.bias = np.zeros(1, np.float32)
         self.w = np.zeros(size, np.float32)
         self.v = r.normal(0, 0.02, (size, rank)).astype(np.float32)
+        self.fitted = False
 
     def logits(self, x: Sparse) -> np.ndarray:
         v = self.v[x.index] * x.value[:, None]
@@ -135,6 +136,7 @@ class FactorisationMachine:
     def fit(self, x: Sparse, y: np.ndarray, rounds: int = 8, batch: int = 128, rate: float = 0.06, decay: float = 1e-5, seed: int = 4) -> None:
         """Adagrad on the logistic loss, touching only the features of each batch."""
         r = np.random.default_rng(seed)
+        self.fitted = True
         seen = [np.full_like(p, 1e-3) for p in (self.bias, self.w, self.v)]
         for _ in range(rounds):
             order = r.permutation(len(x))

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from leafwright.llm import byte_bpe, decontaminate, minhash_dedup
+from leafwright.llm import byte_bpe, decontaminate, minhash_dedup, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +51,17 @@ def test_near_duplicate_stage_at_another_threshold(spark, monkeypatch):
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
     want = {percent: {k for k, x in minhash_dedup.brute_force(rows, percent).items() if x[2]} for percent in (80, 85)}
     assert kept == want[80] < want[85]
+
+
+def test_quality_stage_without_labels_keeps_all(spark, docs):
+    for labels in ([], [(5, None), (6, None)], [(5, 7)]):
+        machine = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert not machine.fitted
+    learnt = quality.train(docs, spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int"))
+    assert learnt.fitted
+
+
+def test_quality_stage_reads_a_table_without_labels(spark, docs, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: spark.createDataFrame([], "doc_id long, quality int"))
+    kept = corpus_pipeline.quality_stage(spark, docs, SF)
+    assert kept.schema == docs.schema and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
