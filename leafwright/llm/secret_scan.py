@@ -43,8 +43,8 @@ def _either_case(words: str) -> str:
 ASSIGN = re.compile("(" + _either_case("password|passwd|secret|token|api_?key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so this is [0-9a-f]+ of at least 24
-#: Further candidates: token-like runs with a digit among them, and whatever an assignment to a credential's name holds.
-TOKEN = re.compile(r"(?=[A-Za-z_+/.=-]{0,24}[0-9])[A-Za-z0-9_+/=-]{16,}")
+#: Further candidates: whole token-like runs, and whatever an assignment to a credential's name holds.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}")
 KEYED = re.compile("(?:" + _either_case("pwd|auth|bearer|credential|private_?key|access_?key|client_?key") + r""")["']?[\x20:=]{1,3}["']?([A-Za-z0-9+/_.=~!@#$%^&*-]{8,})""")
 
 BEFORE, INSIDE, AFTER = 24, 40, 8
@@ -64,8 +64,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def further_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Candidates that overlap no base span and not one another, leftmost first."""
-    found = sorted([m.span() for m in TOKEN.finditer(text)] + [m.span(1) for m in KEYED.finditer(text)])
+    """Candidates that overlap no base span and not one another, leftmost first; a run that holds a credential's name goes behind its value."""
+    keyed = [m.span(1) for m in KEYED.finditer(text)]
+    runs, k = [], 0
+    for m in TOKEN.finditer(text):
+        while k < len(keyed) and keyed[k][1] <= m.start():
+            k += 1
+        if not (k < len(keyed) and m.start() < keyed[k][0] < m.end()):
+            runs.append(m.span())
+    found = sorted(runs + keyed)
     taken, out, last, k = sorted(x[:2] for x in base), [], 0, 0
     for lo, hi in found:
         while k < len(taken) and taken[k][1] <= lo:

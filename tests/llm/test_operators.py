@@ -47,6 +47,15 @@ def test_secret_scan(docs, rows):
     assert found[18][:2] == (2, 1) and found[19][2] == 1
 
 
+def test_secret_candidates_are_whole_runs():
+    head, letters = "abcdefghijklmnopqrstuvwxyzABCDEFGH1234567890", "QwErTyUiOpAsDfGhJkLzXcVbNmQwErTyUiOpAsDf"
+    for run in (head, letters, "a" * 16):
+        assert secret_scan.further_spans(f"key {run}, etc.", []) == [(4, 4 + len(run))]
+    assert secret_scan.further_spans("key " + "a" * 15, []) == []
+    assert secret_scan.further_spans(f"my_client_key={letters}", []) == [(14, 54)]
+    assert secret_scan.further_spans(f"see {letters} {letters}", [(4, 10, "assign")]) == [(45, 85)]
+
+
 def test_secret_network_on_unseen_findings():
     net = secret_scan.train()
     x, y = secret_scan.labelled_findings(2000, 99)
