@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and
 read again as the next one's docs. All but the last return the columns of documents.
 Rows are kept whole: a stage drops documents, or, in the line and token stages, replaces their text.
+
+Defined cases, for every stage: an empty table gives an empty one. Null and empty texts are documents without
+words: the quality stage judges them like any other, the line stage keeps them as they are, the others find nothing
+in them. Rows that share a doc_id are one document to the stages that drop documents: all of them go or none does;
+a row whose doc_id is null can't be named by a decision of the last three and stays. Further columns of
+documents, whatever their names, are carried along and never read.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 #: Least similarity of near-duplicates here, in percent.
-NEAR_PERCENT = 85
+NEAR_PERCENT = 80
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +47,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold windows of fewer benchmark items than contamination takes."""
-    gone = decontaminate.report(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
+    """Documents without any passage of the benchmark.
+
+    A document goes if it holds one window of one item: ``decontaminate.WINDOW`` consecutive words. Items
+    of fewer words don't count here, as a few words that a text shares with one are no copy of it.
+    """
+    phrases = decontaminate.phrases_of(read_table(spark, sf_dir, "benchmark")).where(F.col("length") == decontaminate.WINDOW)
+    found = decontaminate.search(decontaminate.build_index(docs), decontaminate.stored_phrases(phrases))
+    gone = found.where("n_hit > 0").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
