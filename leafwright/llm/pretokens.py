@@ -12,7 +12,7 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from leafwright.llm.common import SortedMemo, mix
+from leafwright.llm.common import SortedMemo, mix, powers
 
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: The same split for texts in which `\w`, `\d` and `\s` of the standard library mean what the pattern's classes mean.
@@ -40,30 +40,15 @@ def _classes() -> np.ndarray:
     return table
 
 
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if k not in _powers or len(_powers[k][0]) < n:
-        runs = []
-        for base in (_BASES[k], np.uint64(pow(int(_BASES[k]), -1, 1 << 64))):
-            run = np.full(max(n, 1 << 19), base, np.uint64)
-            run[0] = 1
-            runs.append(np.cumprod(run, dtype=np.uint64))
-        _powers[k] = (runs[0], runs[1])
-    return _powers[k][0][:n], _powers[k][1][:n]
-
-
 @dataclass
 class Pieces:
-    """Pieces of several texts: bounds in their common run of code points, two hashes, and each text's first piece."""
+    """Pieces of several texts: bounds in their common run of code points, a hash of each, and each text's first piece."""
 
     text: str
+    code: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
-    check: np.ndarray
     first: np.ndarray
 
     def piece(self, k: int) -> str:
@@ -78,7 +63,7 @@ def scan(texts: list[str]) -> Pieces:
     n = len(whole)
     if not n:
         empty = np.zeros(0, np.int64)
-        return Pieces(whole, empty, empty, empty.view(np.uint64), empty.view(np.uint64), np.zeros(len(texts) + 1, np.int64))
+        return Pieces(whole, empty.astype(np.uint32), empty, empty, empty.view(np.uint64), np.zeros(len(texts) + 1, np.int64))
     code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
     kind = _classes()[code]
     edge = np.zeros(n + 1, bool)
@@ -105,52 +90,102 @@ def scan(texts: list[str]) -> Pieces:
         starts[mark + 1 + length] = True
     start = np.flatnonzero(starts[:n])
     end = np.append(start[1:], n)
-    hashes = []
-    for k in (0, 1):
-        up, down = _power(k, n)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((code + np.uint64(1)) * up, out=total[1:])
-        hashes.append(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
-    return Pieces(whole, start, end, hashes[0], hashes[1], np.searchsorted(start, at, "left"))
+    up, down = powers(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((code + np.uint64(1)) * up[:n], out=total[1:])
+    name = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    return Pieces(whole, code, start, end, name, np.searchsorted(start, at, "left"))
+
+
+def _runs(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs of ``size`` values from each place on, one run after the other."""
+    stop = np.cumsum(size)
+    return np.repeat(at - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+
+
+def _equal(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the runs of ``size`` values from each place of a and of b are equal, value by value; sizes are over 0."""
+    if not len(size):
+        return np.zeros(0, bool)
+    return np.logical_and.reduceat(a[_runs(a_at, size)] == b[_runs(b_at, size)], np.cumsum(size) - size)
+
+
+class Pool:
+    """A run of values that grows at its end; ``used`` of them count."""
+
+    def __init__(self, dtype: np.dtype):
+        self.values, self.used = np.zeros(1 << 16, dtype), 0
+
+    def put(self, more: np.ndarray) -> int:
+        """Writes values at the end and returns their place."""
+        need = self.used + len(more)
+        if need > len(self.values):
+            self.values = np.concatenate([self.values[: self.used], np.zeros(need - self.used + len(self.values) // 4, self.values.dtype)])
+        self.values[self.used : need] = more
+        self.used = need
+        return need - len(more)
 
 
 class PieceMemo:
-    """Ids of pieces by hash: sorted arrays of a few bytes an entry, so that a worker can keep millions.
+    """Ids of pieces, found by a hash and then compared code point by code point, so no two pieces are ever mixed up.
 
-    A piece is taken as known only if both of its hashes, 128 bits together, agree.
+    Sorted arrays of a few bytes an entry let a worker keep millions. Pieces of over ``LONG`` code points, and pieces
+    whose hash belongs to another one, are encoded each time and not kept.
     """
 
+    LONG = 64
+
     def __init__(self, dtype: np.dtype, limit: int):
-        self.dtype = dtype
-        self.rows = SortedMemo(limit, check=np.dtype(np.uint64), at=np.dtype(np.int64), size=np.dtype(np.int32))
-        self.pool, self.used = np.zeros(1 << 16, dtype), 0
+        self.rows = SortedMemo(limit, at=np.dtype(np.int64), size=np.dtype(np.int32), code_at=np.dtype(np.int64), length=np.dtype(np.int32))
+        self.ids, self.codes = Pool(dtype), Pool(np.dtype(np.uint32))
 
     def encode(self, pieces: Pieces, encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and n + 1 offsets of the texts; ``encode`` gets the pieces that are new."""
-        order = np.argsort(pieces.hash)
+        length = pieces.end - pieces.start
+        brief = np.flatnonzero(length <= self.LONG)
+        order = brief[np.argsort(pieces.hash[brief], kind="stable")]
         ranked = pieces.hash[order]
         leads = np.ones(len(order), bool)
         leads[1:] = ranked[1:] != ranked[:-1]
         lead, keys = order[leads], ranked[leads]
-        inverse = np.empty(len(order), np.int64)
-        inverse[order] = np.cumsum(leads) - 1
-        check = pieces.check[lead]
-        if not (check[inverse] == pieces.check).all():
-            raise ValueError("two pieces share a hash")  # 2**-64 a pair, within one batch
-        known, found = self.rows.find(keys, check=check)
-        fresh = np.flatnonzero(~known)
-        ids = encode([pieces.piece(k) for k in lead[fresh].tolist()])
-        size, at = found["size"].astype(np.int64), found["at"]
-        size[fresh] = np.fromiter(map(len, ids), np.int64, len(ids))
-        more = int(size[fresh].sum())
-        if self.used + more > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + more + len(self.pool) // 4, self.dtype)])
-        at[fresh] = self.used + np.cumsum(size[fresh]) - size[fresh]
-        self.pool[self.used : self.used + more] = np.fromiter((i for x in ids for i in x), self.dtype, more)
-        self.used += more
-        length = size[inverse]
-        stop = np.cumsum(length)
-        out = self.pool[np.repeat(at[inverse] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
-        if not self.rows.add(keys[fresh], check=check[fresh], at=at[fresh], size=size[fresh]):
-            self.used = 0
-        return out, np.concatenate([[0], stop])[pieces.first]
+        group = np.full(len(length), -1)
+        group[order] = np.cumsum(leads) - 1
+        rest = order[~leads]
+        to = lead[group[rest]]
+        same = length[rest] == length[to]
+        same[same] = _equal(pieces.code, pieces.start[rest[same]], pieces.code, pieces.start[to[same]], length[rest[same]])
+        group[rest[~same]] = -1
+
+        at, size, keep = self._known(pieces, lead, keys, length, encode)
+        place, count = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+        own = np.flatnonzero(group >= 0)
+        place[own], count[own] = at[group[own]], size[group[own]]
+        alone = np.flatnonzero(group < 0)
+        if len(alone):
+            texts: dict[str, int] = {}
+            which = np.array([texts.setdefault(pieces.piece(k), len(texts)) for k in alone.tolist()])
+            at, size, flat = self._put(encode(list(texts)))
+            self.ids.used -= len(flat)  # nothing refers to these after this batch
+            place[alone], count[alone] = at[which], size[which]
+        out = self.ids.values[_runs(place, count)]
+        if not keep():
+            self.ids.used = self.codes.used = 0
+        return out, np.concatenate([[0], np.cumsum(count)])[pieces.first]
+
+    def _put(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place and number of each list's ids in the pool, and the ids."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((i for x in ids for i in x), self.ids.values.dtype, int(size.sum()))
+        return self.ids.put(flat) + np.cumsum(size) - size, size, flat
+
+    def _known(self, pieces: Pieces, lead: np.ndarray, keys: np.ndarray, length: np.ndarray, encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray, Callable[[], bool]]:
+        """Place and number of each lead's ids, and what keeps the new ones; that is False if the memo was full and is empty now."""
+        taken, found = self.rows.find(keys)
+        known = taken & (found["length"] == length[lead])
+        known[known] = _equal(pieces.code, pieces.start[lead[known]], self.codes.values, found["code_at"][known], length[lead[known]])
+        at, size = found["at"].astype(np.int64), found["size"].astype(np.int64)
+        fresh, kept = np.flatnonzero(~known), np.flatnonzero(~taken)
+        at[fresh], size[fresh], _ = self._put(encode([pieces.piece(k) for k in lead[fresh].tolist()]))
+        own = length[lead[kept]]
+        code_at = self.codes.put(pieces.code[_runs(pieces.start[lead[kept]], own)]) + np.cumsum(own) - own
+        return at, size, lambda: self.rows.add(keys[kept], at=at[kept], size=size[kept], code_at=code_at, length=own)

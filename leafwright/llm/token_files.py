@@ -25,6 +25,7 @@ keys follow each other in the order of their texts. An empty table gives no rows
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -61,25 +62,52 @@ _NULL_KEY = np.iinfo(np.int64).min
 
 
 class PieceEncoder:
-    """The tokenizers library over each distinct piece once; pieces are encoded separately by the vocabulary's own rule."""
+    """The tokenizers library over each distinct piece once; pieces are encoded separately by the vocabulary's own rule.
 
-    def __init__(self, path: str):
+    As in the library, the name of an added token in a text is that token, and what stands between
+    such names is encoded by itself; with ``names_as_text`` it is ordinary text. Texts that
+    hold an added token with options of its own (such as stripping blanks) go to the library whole.
+    """
+
+    def __init__(self, path: str, names_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a special token's name in a text is ordinary text
+        self.tokenizer.encode_special_tokens = names_as_text
+        added = {} if names_as_text else self.tokenizer.get_added_tokens_decoder()
+        self.added = {x.content: k for k, x in added.items()}
+        self.plain = not any(x.single_word or x.lstrip or x.rstrip or x.normalized for x in added.values())
+        self.names = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo = PieceMemo(self.dtype, MEMO_PIECES)
 
     def _ids(self, fresh: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
 
+    def _parts(self, text: str) -> list[str | int]:
+        """Runs of ordinary text and ids of the added tokens between them."""
+        if self.names is None or not self.names.search(text):
+            return [text]
+        if not self.plain:
+            return list(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return [self.added.get(x, x) for x in self.names.split(text) if x]
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text with the end id, in the encoder's id width."""
-        ids, at = self.memo.encode(scan([x or "" for x in texts]), self._ids)
-        end = np.asarray([END_ID], self.dtype).tobytes()
-        return [ids[lo:hi].tobytes() + end for lo, hi in zip(at[:-1], at[1:], strict=True)]
+        parts = [self._parts(x or "") for x in texts]
+        ids, at = self.memo.encode(scan([x for own in parts for x in own if isinstance(x, str)]), self._ids)
+        out, k, end = [], 0, np.asarray([END_ID], self.dtype).tobytes()
+        for own in parts:
+            found = []
+            for x in own:
+                if isinstance(x, str):
+                    found.append(ids[at[k] : at[k + 1]].tobytes())
+                    k += 1
+                else:
+                    found.append(np.asarray([x], self.dtype).tobytes())
+            out.append(b"".join([*found, end]))
+        return out
 
 
 @lru_cache(maxsize=2)

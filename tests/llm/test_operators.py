@@ -160,7 +160,6 @@ def test_cuckoo_filter():
 
 def test_token_files(spark, docs, rows, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     folder = str(tmp_path / "tokens")
     files = token_files.write_files(token_files.encode_documents(token_files.in_key_order(docs, files=3)), folder)
     found = by_id(token_files.read_digests(spark, files, folder))
@@ -209,6 +208,47 @@ def test_byte_bpe_on_random_bytes():
         assert bpe.decode(bpe.encode(text)) == text.encode()
 
 
+def twins() -> tuple[str, str]:
+    """Two words of 1,024 letters that agree in every polynomial hash modulo 2**64 with an odd base."""
+    swap, word = str.maketrans("ab", "ba"), "a"
+    for _ in range(10):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_pieces_with_equal_hashes_keep_their_ids(monkeypatch):
+    a, b = twins()
+    texts = [a, b, f"x {b} y {a}", f"{a}{b}", a]
+    bpe = byte_bpe.load(byte_bpe.DEFAULT_RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    tokenizer, own = Tokenizer.from_file(token_files.DEFAULT_TOKENIZER), token_files.PieceEncoder(token_files.DEFAULT_TOKENIZER)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_all(texts)] == [library.encode_ordinary(x) for x in texts]
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.encode_all(texts)] == [[*tokenizer.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    whole = pretokens.scan
+
+    def crowded(given):
+        found = whole(given)
+        found.hash = found.hash % np.uint64(7)
+        return found
+
+    monkeypatch.setattr(byte_bpe, "scan", crowded)
+    fresh = byte_bpe.ByteBpe(bpe.ranks)
+    short = [f"w{k} it's {k * 7919} the theirs" for k in range(60)]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in fresh.encode_all(short)] == [library.encode_ordinary(x) for x in short]
+
+
+def test_token_ids_of_added_tokens_are_the_librarys():
+    tokenizer, own = Tokenizer.from_file(token_files.DEFAULT_TOKENIZER), token_files.PieceEncoder(token_files.DEFAULT_TOKENIZER)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n", "<|endoftext", "", " <|endoftext|>'s  ", "plain"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.encode_all(texts)] == [[*tokenizer.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    assert np.frombuffer(own.encode_all(texts[:1])[0], "<u2").tolist() == [64, 220, 50256, 275, 2]
+    tokenizer.encode_special_tokens = True
+    as_text = token_files.PieceEncoder(token_files.DEFAULT_TOKENIZER, names_as_text=True)
+    assert [np.frombuffer(x, "<u2").tolist() for x in as_text.encode_all(texts)] == [[*tokenizer.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+
+
 def test_pieces_in_numpy_are_those_of_the_pattern(rows):
     import random
 

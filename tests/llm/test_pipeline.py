@@ -24,11 +24,12 @@ def test_stages(spark, tmp_path):
         if name == "lines":
             assert {r["doc_id"] for r in after} == before.keys() and all(r["n_chars"] == len(r["text"]) for r in after)
         if name == "near_duplicates":
-            want = minhash_dedup.brute_force(list(before.items()))
+            want = minhash_dedup.brute_force(list(before.items()), 80)
             assert {r["doc_id"] for r in after} == {k for k, x in want.items() if x[2]}
         if name == "decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-            assert {r["doc_id"] for r in after} == {x[0] for x in decontaminate.brute_force(list(before.items()), items) if not x[5]}
+            found = {x[0] for x in decontaminate.brute_force(list(before.items()), items) if x[3]}
+            assert {r["doc_id"] for r in after} == before.keys() - found and found
         if name == "tokens":
             bpe = byte_bpe.load(byte_bpe.DEFAULT_RANKS)
             assert {r["doc_id"]: r["n_tokens"] for r in after} == {k: len(bpe.encode(x or "")) // 4 for k, x in before.items()}
@@ -53,6 +54,27 @@ def test_near_duplicate_stage_at_another_threshold(spark, monkeypatch):
     assert kept == want[80] < want[85]
 
 
+def test_decontamination_stage_drops_one_passage_of_one_item(spark, docs, monkeypatch):
+    item = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, item), (2, "the of"), (3, None), (None, "never asked for this one at all by anyone here")], "item_id long, text string")
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: items)
+    rows = [(1, "Before, TWO three four five six seven eight nine after"), (2, "two three four five six seven eight and nine"), (3, None), (4, ""), (5, "the of the of the of the of"), (None, item), (6, f"x {item} y"), (6, "clean row of the same id"), (7, "never asked for this one at all by anyone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS item", "2 AS length", "3 AS segment", "4 AS key")
+    kept = corpus_pipeline.decontamination_stage(spark, frame, SF)
+    assert kept.columns == frame.columns
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 2, 3, 4, 5, 7]
+
+
+def test_stages_on_empty_and_odd_tables(spark, none, odd_docs):
+    for frame in (none, odd_docs):
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, frame, SF)
+            rows = found.collect()
+            assert name == "tokens" or found.columns == frame.columns
+            assert name in ("quality", "near_duplicates") or len(rows) == frame.count()
+            assert name == "quality" or sum(r["doc_id"] is None for r in rows) == frame.where("doc_id IS NULL").count()
+
+
 def test_quality_stage_without_labels_keeps_all(spark, docs):
     for labels in ([], [(5, None), (6, None)], [(5, 7)]):
         machine = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
