@@ -8,35 +8,33 @@ State (all tables hold 128-bit line-key hashes, dealt to shards by the hash):
   dropped. A key enters its shard's filter when its count reaches the minimum and
   leaves it when deletions take the count below.
 
-A document's lines are first asked of the filters, which rule out most lines without
-a join; whatever passes is looked up in the exact table, so false positives of the
-filters never decide. Filters travel to the tasks only while their measured size is
-under ``FILTER_BYTES``; beyond it every line goes to the exact table.
+The distinct keys are first asked of their shards' filters, each shard in a task of its own, which rules
+out most keys; whatever passes is looked up in the exact table, so false positives of the
+filters never decide. The number of shards follows the number of distinct keys, of which a shard
+gets about ``SHARD_KEYS``; as a key is asked once, however many documents hold it, no shard is hot.
 
 Null and empty texts are one empty line. Keys shorter than ``min_chars`` never count.
-Each row counts as a document, also where rows share a doc_id; a null doc_id is
-smaller than any other. Columns other than doc_id and text are ignored by decide().
+Rows that share a doc_id are one document; those whose doc_id is null are one too, smaller than
+any other, which delete() can't name. Columns other than doc_id and text are ignored by decide().
 """
 
 from __future__ import annotations
 
+import math
 import struct
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import checkpointed, mapped, mix, read_table
+from leafwright.llm.common import checkpointed, mix, read_table
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-SHARDS = 64
-#: Filters are sent to every task only up to this total.
-FILTER_BYTES = 32 << 20
+#: Shards at least, and distinct keys in one from which there are more.
+SHARDS, SHARD_KEYS = 64, 1 << 18
 
 _KEYS = f"""
 transform(split(coalesce(text, ''), '\\n', -1), x -> translate(trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM x),
@@ -81,44 +79,69 @@ class CuckooFilter:
         return found
 
     def insert(self, keys: np.ndarray) -> None:
-        for fingerprint, first, other in zip(*(x.tolist() for x in self._prints(np.ascontiguousarray(keys))), strict=True):
-            left = self._put(self.tables[-1], fingerprint, first, other)
-            if left is not None:
-                # The evicted print is known only modulo this table's size, so the table is put back and the key goes on.
-                self.tables.append(self._table(2 * self.tables[-1].size))
-                self._put(self.tables[-1], fingerprint, first, other)
-
-    def _put(self, table: np.ndarray, fingerprint: int, first: int, other: int) -> bool | None:
-        mask = len(table) - 1
-        at = first & mask
-        for bucket in (at, at ^ (other & mask)):
-            free = np.flatnonzero(table[bucket] == 0)
-            if len(free):
-                table[bucket, free[0]] = fingerprint
-                return None
-        path = []
+        if len(keys) and not self._put(self.tables[-1], keys):
+            size = 2 * self.tables[-1].size
+            while True:
+                self.tables.append(self._table(max(size, len(keys))))
+                if self._put(self.tables[-1], keys):
+                    return
+                del self.tables[-1]
+                size *= 2
+
+    def _put(self, table: np.ndarray, keys: np.ndarray) -> bool:
+        """Puts all keys into a table; False, and the table as it was, if they find no room."""
+        before = table.copy()
+        prints, first, other = self._prints(np.ascontiguousarray(keys))
+        mask = np.uint64(len(table) - 1)
+        at = (first & mask).astype(np.int64)
+        prints, at = self._settled(table, prints, at)
+        if len(prints):
+            at ^= (mix(prints.astype(np.uint64)) & mask).astype(np.int64)
+            prints, at = self._settled(table, prints, at)
         for _ in range(self.KICKS):
-            slot = int(self._random.integers(self.SLOTS))
-            path.append((at, slot, int(table[at, slot])))
-            fingerprint, table[at, slot] = path[-1][2], fingerprint
-            at ^= int(mix(np.asarray([fingerprint], np.uint64))[0]) & mask
-            free = np.flatnonzero(table[at] == 0)
-            if len(free):
-                table[at, free[0]] = fingerprint
-                return None
-        for bucket, slot, old in reversed(path):
-            table[bucket, slot] = old
-        return False
+            if not len(prints):
+                return True
+            # One print of each full bucket takes the place of another, which goes to its other bucket.
+            _, turn = np.unique(at, return_index=True)
+            bucket, slot = at[turn], self._random.integers(self.SLOTS, size=len(turn))
+            prints[turn], table[bucket, slot] = table[bucket, slot], prints[turn]
+            at[turn] ^= (mix(prints[turn].astype(np.uint64)) & mask).astype(np.int64)
+            prints, at = self._settled(table, prints, at)
+        if len(prints):
+            table[:] = before
+        return not len(prints)
+
+    @staticmethod
+    def _settled(table: np.ndarray, prints: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fills free slots of the wanted buckets, and returns what is left."""
+        order = np.argsort(at, kind="stable")
+        ranked = at[order]
+        lead = np.append(True, ranked[1:] != ranked[:-1])
+        rank = np.arange(len(ranked)) - np.maximum.accumulate(np.where(lead, np.arange(len(ranked)), 0))
+        free = table[ranked] == 0
+        fits = rank < free.sum(1)
+        # The rank-th free slot of the bucket.
+        slot = ((np.cumsum(free[fits], axis=1) == rank[fits, None] + 1) & free[fits]).argmax(1)
+        table[ranked[fits], slot] = prints[order[fits]]
+        left = order[~fits]
+        return prints[left], at[left]
 
     def delete(self, keys: np.ndarray) -> None:
-        for fingerprint, first, other in zip(*(x.tolist() for x in self._prints(np.ascontiguousarray(keys))), strict=True):
-            for table in reversed(self.tables):
-                mask = len(table) - 1
-                at = first & mask
-                held = [(b, s) for b in (at, at ^ (other & mask)) for s in np.flatnonzero(table[b] == fingerprint)]
-                if held:
-                    table[held[0]] = 0
-                    break
+        prints, first, other = self._prints(np.ascontiguousarray(keys))
+        for table in reversed(self.tables):
+            mask = np.uint64(len(table) - 1)
+            left = np.arange(len(prints))
+            while len(left):
+                a = (first[left] & mask).astype(np.int64)
+                pair = np.stack([a, a ^ (other[left] & mask).astype(np.int64)], axis=1)
+                held = (table[pair] == prints[left, None, None]).reshape(len(left), -1)
+                some = held.any(1)
+                left, pair, slot = left[some], pair[some], held[some].argmax(1)
+                place = pair[np.arange(len(left)), slot // self.SLOTS] * self.SLOTS + slot % self.SLOTS
+                place, turn = np.unique(place, return_index=True)
+                table.reshape(-1)[place] = 0
+                prints[left[turn]] = 0  # no key has this print, so it is found nowhere else
+                left = np.delete(left, turn)
 
     def to_bytes(self) -> bytes:
         return b"".join([struct.pack("<I", len(self.tables)), *(struct.pack("<Q", len(t)) for t in self.tables), *(t.tobytes() for t in self.tables)])
@@ -135,10 +158,10 @@ class CuckooFilter:
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, doc_id): the distinct keys of each row of documents."""
+    """(h1, h2, doc_id): the distinct keys of each document."""
     keys = F.expr(f"array_distinct(transform(filter({_KEYS}, k -> char_length(k) >= {int(min_chars)}), k -> {_HASHED}))")
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return found.select("doc_id", F.explode(keys).alias("key")).select("key.h1", "key.h2", "doc_id")
+    return found.select("doc_id", F.explode(keys).alias("key")).select("key.h1", "key.h2", "doc_id").distinct()
 
 
 def _shard(shards: int):
@@ -171,13 +194,24 @@ class LineIndex:
         index = cls.empty(docs.sparkSession, **settings)
         index.postings = checkpointed(line_keys(docs, index.min_chars))
         index.references = checkpointed(cls._count(index.postings))
-        crossing = index.references.where(F.col("n_docs") >= index.min_docs).select(_shard(index.shards), "h1", F.lit(1).alias("step"))
-        index.filters = index._refiltered(crossing)
+        index.shards = cls._shards_for(index.references)
+        index.filters = index._filters()
         return index
 
+    @staticmethod
+    def _shards_for(references: DataFrame) -> int:
+        return max(SHARDS, 1 << math.ceil(math.log2(references.count() / SHARD_KEYS + 1)))
+
+    def _filters(self) -> DataFrame:
+        """The filters of this version's exact table, made anew."""
+        crossing = self.references.where(F.col("n_docs") >= self.min_docs).select(_shard(self.shards), "h1", F.lit(1).alias("step"))
+        return self._refiltered(self.empty(crossing.sparkSession).filters, crossing)
+
     def insert(self, docs: DataFrame) -> LineIndex:
-        delta = checkpointed(line_keys(docs, self.min_chars))
-        return self._next(delta, checkpointed(self.postings.unionByName(delta)))
+        """Takes documents in; what is in already stays as it is."""
+        known = self.postings.unionByName(line_keys(docs, self.min_chars)).distinct()
+        postings = checkpointed(known)
+        return self._next(line_keys(docs, self.min_chars), postings)
 
     def delete(self, docs: DataFrame) -> LineIndex:
         """Takes documents out again; only their doc_id is used."""
@@ -193,45 +227,38 @@ class LineIndex:
         both = touched.join(enough(self.references, "was"), ["h1", "h2"], "left").join(enough(references, "now"), ["h1", "h2"], "left")
         step = F.coalesce("now", F.lit(0)) - F.coalesce("was", F.lit(0))
         crossing = both.select(_shard(self.shards), "h1", step.alias("step")).where("step <> 0")
-        return LineIndex(postings, references, self._refiltered(crossing), self.min_docs, self.min_chars, self.shards)
-
-    def _refiltered(self, crossing: DataFrame) -> DataFrame:
-        def run(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-            held = CuckooFilter.from_bytes(old["filter"].iloc[0]) if len(old) else CuckooFilter(len(new))
-            held.delete(new.loc[new.step < 0, "h1"].to_numpy(np.int64))
-            held.insert(new.loc[new.step > 0, "h1"].to_numpy(np.int64))
-            shard = int((new if len(new) else old)["shard"].iloc[0])
-            return pd.DataFrame({"shard": [shard], "filter": [held.to_bytes()]})
-
-        grouped = self.filters.groupBy("shard").cogroup(crossing.groupBy("shard"))
-        return checkpointed(grouped.applyInPandas(run, "shard int, filter binary"))
-
-    def possible(self, postings: DataFrame) -> DataFrame:
-        """Postings whose key's shard may hold it; all of them if the filters are too large to send."""
-        size = self.filters.agg(F.coalesce(F.sum(F.length("filter")), F.lit(0))).first()[0]
-        if size > FILTER_BYTES:
-            return postings
-        sent = postings.sparkSession.sparkContext.broadcast({x["shard"]: bytes(x["filter"]) for x in self.filters.collect()})
-        shards = self.shards
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = {k: CuckooFilter.from_bytes(x) for k, x in sent.value.items()}
-            for batch in batches:
-                h1, h2 = (np.asarray(batch.column(i)) for i in (0, 1))
-                shard = h2 % shards
-                keep = np.zeros(len(h1), bool)
-                for k in np.unique(shard):
-                    if k in held:
-                        mine = np.flatnonzero(shard == k)
-                        keep[mine] = held[k].contains(h1[mine])
-                yield batch.filter(pa.array(keep))
-
-        return mapped(postings, run, "h1 long, h2 long, doc_id long")
+        index = LineIndex(postings, references, self.filters, self.min_docs, self.min_chars, self._shards_for(references))
+        index.filters = self._refiltered(self.filters, crossing) if index.shards == self.shards else index._filters()
+        return index
+
+    @staticmethod
+    def _refiltered(filters: DataFrame, crossing: DataFrame) -> DataFrame:
+        """Filters after the keys of ``crossing`` (shard, h1, step) entered (1) or left (-1) their shards."""
+
+        def run(key: tuple, old: pa.Table, new: pa.Table) -> pa.Table:
+            h1, step = np.asarray(new["h1"], np.int64), np.asarray(new["step"])
+            held = CuckooFilter.from_bytes(old["filter"][0].as_py()) if old.num_rows else CuckooFilter(len(h1))
+            held.delete(h1[step < 0])
+            held.insert(h1[step > 0])
+            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([held.to_bytes()], pa.binary())})
+
+        grouped = filters.groupBy("shard").cogroup(crossing.groupBy("shard"))
+        return checkpointed(grouped.applyInArrow(run, "shard int, filter binary"))
+
+    def possible(self) -> DataFrame:
+        """(h1, h2): the distinct keys that their shards' filters may hold."""
+
+        def run(filters: pa.Table, keys: pa.Table) -> pa.Table:
+            held = CuckooFilter.from_bytes(filters["filter"][0].as_py()) if filters.num_rows else CuckooFilter()
+            return keys.select(["h1", "h2"]).filter(pa.array(held.contains(np.asarray(keys["h1"], np.int64))))
+
+        keys = self.references.select(_shard(self.shards), "h1", "h2")
+        return self.filters.groupBy("shard").cogroup(keys.groupBy("shard")).applyInArrow(run, "h1 long, h2 long")
 
     def dropped(self) -> DataFrame:
         """(doc_id, dropped): for each document that loses lines, their keys."""
-        enough = self.references.where(F.col("n_docs") >= self.min_docs).select("h1", "h2", "last_doc")
-        lost = self.possible(self.postings).join(enough, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
+        enough = checkpointed(self.possible().join(self.references.where(F.col("n_docs") >= self.min_docs), ["h1", "h2"]).select("h1", "h2", "last_doc"))
+        lost = self.postings.join(enough, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
         return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
 
     def _judged(self, docs: DataFrame) -> DataFrame:

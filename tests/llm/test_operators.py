@@ -140,10 +140,24 @@ def test_line_dedup_can_be_undone(spark, docs):
     assert by_id(line_dedup.LineIndex.empty(spark).insert(docs).decide(docs)) == by_id(whole.decide(docs))
 
 
-def test_line_dedup_without_sending_filters(docs, monkeypatch):
+def test_line_dedup_in_more_shards(spark, docs, monkeypatch):
     want = by_id(line_dedup.digests(docs))
-    monkeypatch.setattr(line_dedup, "FILTER_BYTES", 0)
-    assert by_id(line_dedup.digests(docs)) == want
+    monkeypatch.setattr(line_dedup, "SHARDS", 1)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 4)
+    whole = line_dedup.LineIndex.build(docs)
+    assert whole.shards >= 8 and by_id(line_dedup.digests(docs)) == want
+    grown = line_dedup.LineIndex.build(docs.where("doc_id < 2")).insert(docs)
+    assert grown.shards == whole.shards and by_id(grown.decide(docs)) == by_id(whole.decide(docs))
+
+
+def test_line_dedup_rows_of_one_document(spark):
+    """Rows that share a doc_id are one document, and so are those without one."""
+    line = "a line that is long enough"
+    rows = [(1, line), (1, line), (1, line + "\nx"), (2, line + "\n" + line), (None, line), (None, "y\n" + line)]
+    found = line_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS h1", "'s' AS shard", "2 AS last_doc")).collect()
+    assert sorted((r["doc_id"] or 0, r["n_lines"], r["n_dropped"]) for r in found) == [(0, 1, 1), (0, 2, 1), (1, 1, 1), (1, 1, 1), (1, 2, 1), (2, 2, 0)]
+    twice = line_dedup.digests(spark.createDataFrame(rows[:4], "doc_id long, text string")).collect()
+    assert all(r["n_dropped"] == 0 for r in twice)
 
 
 def test_cuckoo_filter():
@@ -152,6 +166,8 @@ def test_cuckoo_filter():
     held = line_dedup.CuckooFilter(64)
     held.insert(keys)
     held = line_dedup.CuckooFilter.from_bytes(held.to_bytes())
+    held.insert(keys[:40])
+    held.delete(keys[:40])
     assert held.contains(keys).all() and len(held.tables) > 1
     assert held.contains(r.integers(-(2**62), 2**62, 20000)).mean() < 0.01
     held.delete(keys[:2500])
