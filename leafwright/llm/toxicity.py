@@ -8,19 +8,23 @@ only make gaps. Segments are words, and runs of three or more single letters as
 long ones are cut into overlapping windows. A document scores by its three worst segments,
 the number of bad ones and its size, through a calibrated logistic curve.
 
-Training sentences come from labelled documents. A toxic document says only that some
-sentence is toxic, so the segments that explain most toxic documents and are (all but)
-absent from clean ones are taken as witnesses, a machine is trained on their sentences'
-segments against those of clean ones, and segments it finds likewise join it, with
-gapped and inserted variants. Hard clean segments join the other side each round.
-
-The decision is linear in the kernel values of the landmarks and these are linear in
-the subsequences, so training ends in one weight for each three-letter subsequence:
-scoring evaluates exactly the kernel machine without visiting its landmarks.
-
-Training takes at most ``TRAIN_ROWS`` labelled documents of each class. Null and empty
-texts have no segments and get the score of the lowest margins. Rows are scored alone; other columns
-are ignored. Without labels of both classes every score is the prior of one half.
+Training strings are the segments of labelled sentences. A clean document's sentences are all clean; a
+toxic document says only that some sentence is toxic, so a sentence of one counts as toxic if
+it holds a witness: a segment with a stem (or, in itself, a word) that far more toxic than
+clean documents hold, once or twice over. Witnesses, with gapped and inserted variants, stand against all
+segments of clean sentences. Then the machine judges the toxic documents' segments, those it finds on the
+wrong side are witnesses no more, and it is trained again with the hardest clean segments among its landmarks. A
+quarter of the documents is kept back to calibrate the curve; the last fit is on all of them.
+
+Landmarks are taken one by one, each the segment that those before explain least (pivoted Cholesky). The
+decision is linear in their kernel values and these are linear in the subsequences, so training
+ends in one weight for each three-letter subsequence: scoring evaluates exactly the kernel
+machine without visiting its landmarks, which it keeps with their coefficients.
+
+Training takes at most ``TRAIN_ROWS`` labelled documents of each class, one row each, of up to ``labelled.SAMPLE_CHARS``
+characters, and every sentence of them that no document before has. Null and empty texts have no
+segments and get the score of the lowest margins. Rows are scored alone; other columns are ignored.
+Without labels of both classes every score is the prior of one half.
 """
 
 from __future__ import annotations
@@ -37,23 +41,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, mapped, pieces, read_table, scan_words
+from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, mapped, pieces, read_table, release, scan_words
 from leafwright.llm.labelled import remainder, sample
 
 #: Labelled documents of each class that training takes at most.
-TRAIN_ROWS = {1: 2000, 0: 4000}
+TRAIN_ROWS = {1: 1000, 0: 1500}
 DIVISOR, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 LAMBDA = 0.7
 #: Letters in a window of a long segment, its start mark included, and the step between windows.
 WINDOW, STEP = 16, 8
-WITNESSES = 400
-#: Witnesses looked for in each toxic document.
-EACH = 3
+#: Letters of the shortest and number of letters beyond it of the longest stem; documents that must hold one, and its log odds.
+STEM, STEMS, HOLDERS, ODDS = 4, 4, 4, 2.5
 #: Margins under this are alike as further evidence.
 FLOOR = -0.25
-POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 80, 120
-ROUNDS = 3
+POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 200, 120
+#: Clean segments from which landmarks are taken, at random first and the hardest ones then.
+HARD = 1500
+#: Weight of all clean segments together, against 1 for all witnesses, and ridge of the machine.
+CLEAN_WEIGHT, RIDGE = 20.0, 1e-4
 LOWEST = -2.0
 #: Words that a worker remembers.
 MEMO = 1_000_000
@@ -141,6 +147,8 @@ class KernelMachine:
     def __init__(self) -> None:
         self.weight = np.zeros(_BASE**3, np.float32)
         self.bias = 0.0
+        self.landmarks: list[tuple[int, ...]] = []
+        self.coefficients = np.zeros(0)
         self.centre, self.spread = np.zeros(6), np.ones(6)
         self.slope, self.shift = np.zeros(6), 0.0
         self._memo: SortedMemo | None = None
@@ -242,30 +250,60 @@ def spelled(words: Words) -> tuple[list[int], list[tuple[int, ...]]]:
     return owners, found
 
 
+def _columns(segments: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """The subsequences of all segments, and the place of each possible one among them, -1 for others."""
+    held = np.zeros(_BASE**3, bool)
+    for _, block in by_length(segments, 1 << 18):
+        held[subsequences(block)[0].ravel()] = True
+    used = np.flatnonzero(held)
+    column = np.full(_BASE**3, -1, np.int64)
+    column[used] = np.arange(len(used))
+    return used, column
+
+
 def _phi(segments: list[tuple[int, ...]], column: np.ndarray, width: int) -> np.ndarray:
     """Scaled subsequence features of each segment in the columns that the landmarks use."""
-    out = np.zeros((len(segments), width), np.float32)
+    out = np.zeros(len(segments) * width, np.float32)
     for places, block in by_length(segments, 1 << 18):
         ids, weight = subsequences(block)
         weight = weight / np.maximum(norms(ids, weight), 1e-9)[:, None]
-        col = column[ids]
-        row = np.broadcast_to(places[:, None], col.shape)
-        keep = col >= 0
-        np.add.at(out, (row[keep], col[keep]), weight[keep])
+        at = column[ids]
+        keep = at >= 0
+        np.add.at(out, (places[:, None] * width + at)[keep], weight[keep])
+    return out.reshape(len(segments), width)
+
+
+def _pivots(phi: np.ndarray, n: int, least: float = 1e-3) -> list[int]:
+    """Up to n rows, each the one that those before explain least."""
+    left, out, basis = (phi * phi).sum(1).astype(float), [], np.zeros((n, phi.shape[1]), np.float32)
+    for k in range(min(n, len(phi))):
+        at = int(left.argmax())
+        if left[at] < least:
+            break
+        rest = phi[at] - basis[:k].T @ (basis[:k] @ phi[at])
+        basis[k] = rest / max(1e-9, float(np.sqrt(rest @ rest)))
+        left -= (phi @ basis[k]).astype(float) ** 2
+        left[at] = 0
+        out.append(at)
     return out
 
 
-def _solve(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Squared-hinge support vector machine by Newton steps; the last column is the bias."""
-    x = np.column_stack([z, np.ones(len(z))])
-    w = np.zeros(x.shape[1])
-    for _ in range(30):
-        gap = 1 - y * (x @ w)
-        on = gap > 0
-        a = x[on] * cost[on, None]
-        step = np.linalg.solve(ridge * np.eye(len(w)) + a.T @ x[on] / len(y), ridge * w - a.T @ (y[on] * gap[on]) / len(y))
+def _solve(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE, step_rows: int = 8192) -> tuple[np.ndarray, float]:
+    """Squared-hinge support vector machine by Newton steps; the last coefficient is the bias."""
+    w = np.zeros(z.shape[1] + 1)
+    for _ in range(40):
+        gap = 1 - y * (z @ w[:-1].astype(np.float32) + w[-1])
+        on = np.flatnonzero(gap > 0)
+        h, g = ridge * np.eye(len(w)), ridge * w
+        h[-1, -1], g[-1] = 1e-9, 0.0
+        for lo in range(0, len(on), step_rows):
+            own = on[lo : lo + step_rows]
+            x = np.column_stack([z[own], np.ones(len(own), np.float32)]).astype(float)
+            h += (x * cost[own, None]).T @ x
+            g -= x.T @ (cost[own] * y[own] * gap[own])
+        step = np.linalg.solve(h, g)
         w -= step
-        if abs(step).max() < 1e-8:
+        if abs(step).max() < 1e-6:
             break
     return w[:-1], float(w[-1])
 
@@ -279,30 +317,36 @@ def variants(code: tuple[int, ...], r: random.Random) -> list[tuple[int, ...]]:
     return [code[:k] + (GAP,) * r.randint(1, 2) + code[k:], code[:k] + (r.randint(2, 27),) + code[k:], tuple(every[:-1])]
 
 
-def fit(machine: KernelMachine, positive: dict[tuple, float], negative: dict[tuple, float], seed: int = 1) -> None:
-    """Trains on weighted segments: landmarks, Nystroem map, machine, and its fold into subsequence weights."""
+def fit(machine: KernelMachine, positive: dict[tuple, float], negative: list[tuple], hard: list[tuple], seed: int = 1) -> None:
+    """Trains on witnesses with their weights and all clean segments: landmarks, Nystroem map, machine, and its fold into subsequence weights."""
     r = random.Random(seed)
-    landmarks = sorted(positive, key=lambda c: (-positive[c], c))[:POSITIVE_LANDMARKS] + sorted(negative, key=lambda c: (-negative[c], c))[:NEGATIVE_LANDMARKS]
-    landmarks = [w for code in landmarks for w in windows(code)[:1] if len(w) >= 3]
-    used = np.unique(np.concatenate([subsequences(b)[0].ravel() for _, b in by_length(landmarks)]))
-    column = np.full(_BASE**3, -1, np.int64)
-    column[used] = np.arange(len(used))
-    marks = _phi(landmarks, column, len(used))
+    cut = lambda codes: [w for code in codes for w in windows(code) if len(w) >= 3]
+    told, hardest = [(w, positive[code]) for code in sorted(positive) for w in cut([code])], cut(hard)
+    machine.landmarks = []
+    for group, n in (([w for w, _ in told], POSITIVE_LANDMARKS), (hardest, NEGATIVE_LANDMARKS)):
+        used, column = _columns(group)
+        machine.landmarks += [group[k] for k in _pivots(_phi(group, column, len(used)), n)]
+    used, column = _columns(machine.landmarks)
+    marks = _phi(machine.landmarks, column, len(used))
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
-    keep = values > 1e-5
+    keep = values > 1e-4
     root = vectors[:, keep] / np.sqrt(values[keep])
-    segments, y, cost = [], [], []
-    for side, group in ((1.0, positive), (-1.0, negative)):
-        own = sorted(group)
-        own += [v for code in own for v in (variants(code, r) if side > 0 else [r.choice(variants(code, r))])]
-        own = [w for code in own for w in windows(code)[:1] if len(w) >= 3]
-        segments += own
-        y += [side] * len(own)
-        cost += [1 / max(1, len(own))] * len(own)
-    z = np.concatenate([_phi(segments[i : i + 1000], column, len(used)) @ marks.T for i in range(0, len(segments), 1000)]).astype(float) @ root
-    w, machine.bias = _solve(z, np.array(y), np.array(cost) * len(y) / 2)
+    projection = (marks.T @ root).astype(np.float32)
+    segments, cost = [], []
+    for w, n in told:
+        segments += [w, *variants(w, r)]
+        cost += [n**0.5] * (len(segments) - len(cost))
+    split = len(segments)
+    segments += cut(negative) + [r.choice(variants(w, r)) for w in hardest]
+    y = np.where(np.arange(len(segments)) < split, 1.0, -1.0)
+    weight = np.append(np.array(cost) / sum(cost), np.full(len(segments) - split, CLEAN_WEIGHT / max(1, len(segments) - split)))
+    z = np.zeros((len(segments), projection.shape[1]), np.float32)
+    for lo in range(0, len(segments), 1000):
+        z[lo : lo + 1000] = _phi(segments[lo : lo + 1000], column, len(used)) @ projection
+    w, machine.bias = _solve(z, y, weight)
+    machine.coefficients = root @ w
     machine.weight[:] = 0
-    machine.weight[used] = (root @ w) @ marks
+    machine.weight[used] = marks.T @ machine.coefficients
 
 
 def sentences(text: str) -> list[str]:
@@ -313,75 +357,75 @@ def segments_of(sentence: str) -> set[tuple[int, ...]]:
     return {c for w in sentence.split() if len(c := codes(w)) >= 3}
 
 
-def distinct_documents(docs: list[set]) -> list[int]:
-    """Documents that are no copies of earlier ones: those that share at most one of four smallest hashes."""
-    seen: list[set] = [set() for _ in range(4)]
+def stems(code: tuple[int, ...]) -> list[tuple[int, ...]]:
+    """The segment itself, told from longer ones by an end mark, and its beginnings of ``STEM`` letters and a few more."""
+    return [code[: k + 1] for k in range(STEM, min(len(code), STEM + STEMS + 1))] + [(*code, -1)]
+
+
+def witnesses(toxic: list[set], clean: list[set]) -> dict[tuple, float]:
+    """Segments of toxic documents that speak for toxicity, by themselves or by a stem, with the toxic documents that hold them."""
+
+    def held(docs: list[set]) -> tuple[Counter, Counter]:
+        once, twice = Counter(), Counter()
+        for own in docs:
+            n = Counter(s for c in own for s in stems(c))
+            once.update(n.keys())
+            twice.update(s for s, k in n.items() if k > 1)
+        return once, twice
+
+    sure: set = set()
+    for bad, good in zip(held(toxic), held(clean), strict=True):
+        sure |= {s for s, n in bad.items() if n >= HOLDERS and np.log((n + 0.5) / (len(toxic) + 1)) - np.log((good[s] + 0.5) / (len(clean) + 1)) >= ODDS}
+    bad, good = Counter(c for d in toxic for c in d), Counter(c for d in clean for c in d)
+    rate = len(clean) / len(toxic)
+    return {c: float(n) for c, n in bad.items() if rate * (n + 0.5) > good[c] + 0.5 and not sure.isdisjoint(stems(c))}
+
+
+def fresh_sentences(texts: list[str | None]) -> list[list[str]]:
+    """The sentences of each text that no text before it has."""
+    seen: set[str] = set()
     out = []
-    for k, d in enumerate(docs):
-        least = [min((hash((c, j)) for c in d), default=0) for j in range(4)]
-        if sum(x in s for x, s in zip(least, seen, strict=True)) < 2:
-            out.append(k)
-        for x, s in zip(least, seen, strict=True):
-            s.add(x)
+    for x in texts:
+        own = [s for s in dict.fromkeys(t.strip().lower() for t in sentences(x or "")) if s not in seen]
+        seen.update(own)
+        out.append(own)
     return out
 
 
-def witnesses(toxic: list[set], bad: Counter, good: Counter, n_clean: int) -> tuple[dict[tuple, float], set[tuple]]:
-    """Segments that explain the toxic documents, a few for each, and all that speak for toxicity."""
-    share = len(toxic) / (len(toxic) + n_clean)
-    odds = lambda c: np.log((bad[c] + 0.5) / (len(toxic) + 1)) - np.log((good[c] + 0.5) / (n_clean + 1))
-    telling = {c for c, n in bad.items() if n >= 3 and odds(c) >= 2.5}
-    often = Counter((bad + good).values())
-    cover = {c: float(bad[c]) for c in telling if not good[c] and share ** bad[c] * often[bad[c]] < 0.1}
-    open_docs = [[EACH - len(d & cover.keys()), d & telling - cover.keys()] for d in toxic]
-    gain = Counter(c for need, d in open_docs if need > 0 for c in d)
-    while gain and len(cover) < WITNESSES:
-        best, n = max(gain.items(), key=lambda x: (x[1], x[0]))
-        if n < 3:
-            break
-        cover[best] = float(bad[best])
-        for own in open_docs:
-            if own[0] > 0 and best in own[1]:
-                own[0] -= 1
-                own[1].discard(best)
-                gain.subtract(own[1] if own[0] == 0 else ())
-        del gain[best]
-        gain = +gain
-    return cover or {c: float(n) for c, n in bad.most_common(20) if odds(c) > 0}, telling
+def _teach(machine: KernelMachine, whole: list[tuple[set, int, str | None]], hard: list[tuple] | None) -> list[tuple]:
+    """One fit on documents as (segments, label, text), and the clean segments hardest for it. A machine that was taught before first
+    rules out the witnesses on its wrong side; without both classes, or without a witness, it stays as it is."""
+    toxic, clean = [d for d, y, _ in whole if y], [d for d, y, _ in whole if not y]
+    positive, negative = witnesses(toxic, clean) if toxic and clean else {}, sorted(set().union(*clean))
+    if not positive or not negative:
+        return []
+    if hard is not None:
+        positive = {c: n for (c, n), m in zip(positive.items(), machine.margins(list(positive)), strict=True) if m > 0} or positive
+    fit(machine, positive, [c for c in negative if c not in positive], hard or random.Random(3).sample(negative, min(HARD, len(negative))))
+    return [negative[k] for k in np.argsort(-machine.margins(negative), kind="stable")[:HARD].tolist()]
 
 
 def learn(rows: list[tuple[str | None, int]]) -> KernelMachine:
     """The machine for labelled texts (text, 1 if toxic)."""
     machine = KernelMachine()
-    whole = [(set().union(*map(segments_of, sentences(x or ""))), y) for x, y in rows]
-    whole = [whole[k] + (rows[k][0],) for k in distinct_documents([d for d, _ in whole])]
+    whole = [(set().union(*map(segments_of, own)), y, x) for (x, y), own in zip(rows, fresh_sentences([x for x, _ in rows]), strict=True) if own]
     taught, rest = [x for k, x in enumerate(whole) if k % 4], [x for k, x in enumerate(whole) if not k % 4]
-    toxic, clean = [d for d, y, _ in taught if y], [d for d, y, _ in taught if not y]
-    if not toxic or not clean:
-        return machine
-    bad, good = Counter(c for d in toxic for c in d), Counter(c for d in clean for c in d)
-    positive, telling = witnesses(toxic, bad, good, len(clean))
-    if not positive:
+    hard = _teach(machine, taught, None)
+    if not machine.landmarks:
         return machine
-    pool = sorted(good, key=lambda c: (hash(c) & 0xFFFFFF, c))
-    negative = {c: 1.0 for c in pool[:3000]}
-    for _ in range(ROUNDS):
-        fit(machine, positive, negative)
-        margin = machine.margins(pool)
-        hard = np.argsort(-margin, kind="stable")[:1500]
-        negative |= {pool[k]: 10.0 + float(margin[k]) for k in hard.tolist()}
-        likely = sorted(telling)
-        positive |= {c: float(bad[c]) for c, m in zip(likely, machine.margins(likely), strict=True) if m > 0}
-    fit(machine, positive, negative)
+    _teach(machine, taught, hard)
     judged = rest if min(Counter(y for _, y, _ in rest).values(), default=0) >= 20 else whole
     evidence = np.concatenate([machine.evidence(pa.array([x for _, _, x in judged[i : i + 500]], pa.string())) for i in range(0, len(judged), 500)])
     machine.calibrate(evidence, np.array([y for _, y, _ in judged], float))
+    if judged is rest:
+        _teach(machine, whole, hard)
     machine._memo = None
+    release()
     return machine
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = TRAIN_ROWS) -> KernelMachine:
-    """Fits a machine on the driver; what it collects is bounded by ``rows``."""
+    """Fits a machine on the driver; what it collects is bounded by ``rows`` and ``labelled.SAMPLE_CHARS``."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = sample(given, labels, "toxic", rows, DIVISOR, HELD_OUT).select("doc_id", "text", "label").collect()
     return learn([(x["text"], x["label"]) for x in sorted(found, key=lambda x: x["doc_id"])])

@@ -24,7 +24,7 @@ def test_quality_held_out(spark):
 
 def test_toxicity_held_out(spark):
     y, found = held_out(spark, toxicity.query, "toxic")
-    assert (found[y == 0] == 0).mean() > 0.99 and (found[y == 1] == 1).mean() > 0.7
+    assert (found[y == 0] == 0).mean() > 0.99 and (found[y == 1] == 1).mean() >= 0.85
 
 
 def test_interaction_identity():
@@ -45,18 +45,45 @@ def test_labels_of_the_held_out_part_are_never_read(spark):
 
 
 @pytest.mark.parametrize("word", ["loser", "vequance", "x", "a-b.c"])
-def test_folded_weights_are_the_kernel(word):
+def test_folded_weights_are_the_sum_over_landmarks(word):
     machine = toxicity.KernelMachine()
     r = random.Random(3)
-    marks = {toxicity.codes(w): 1.0 for w in ("loser", "idiot", "moron")}
-    plain = {toxicity.codes("".join(r.choice("aeionrst") for _ in range(6))): 1.0 for _ in range(40)}
-    toxicity.fit(machine, marks, plain)
+    insults = {toxicity.codes(w): 1.0 for w in ("loser", "idiot", "moron", "disgustingbehaviour")}
+    plain = [toxicity.codes("".join(r.choice("aeionrst") for _ in range(6))) for _ in range(40)]
+    toxicity.fit(machine, insults, plain, plain)
     assert abs(toxicity.kernel("loser", "loser") - 1) < 1e-9
     assert toxicity.kernel("l.o.s.e.r", "loser") > 0.5 > toxicity.kernel("lantern", "loser")
     code = toxicity.codes(word)
-    ids, weight = toxicity.subsequences(np.array([code])) if len(code) >= 3 else (np.zeros((1, 0), int), np.zeros((1, 0)))
-    want = machine.bias + (machine.weight[ids] * weight).sum() / max(1e-9, toxicity.norms(ids, weight)[0]) if len(code) >= 3 else machine.bias
-    assert abs(machine.margins([code])[0] - want) < 1e-5
+    # The machine as the sum over its landmarks of coefficient and kernel value, from the kernel's definition.
+    want = machine.bias + sum(a * dot(features(mark), features(code)) for mark, a in zip(machine.landmarks, machine.coefficients, strict=True)) if len(code) >= 3 else machine.bias
+    assert len(machine.landmarks) > 20
+    assert abs(machine.margins([code])[0] - want) < 1e-4
+
+
+def features(code):
+    from itertools import combinations
+
+    own = {}
+    for i, j, k in combinations(range(len(code)), 3):
+        if code[i] and code[j] and code[k]:
+            own[code[i], code[j], code[k]] = own.get((code[i], code[j], code[k]), 0) + toxicity.LAMBDA ** (k - i + 1)
+    return own
+
+
+def dot(a, b):
+    scale = (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+    return sum(v * b.get(u, 0) for u, v in a.items()) / scale if scale else 0.0
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    from leafwright.llm import labelled
+
+    monkeypatch.setattr(labelled, "SAMPLE_CHARS", 10)
+    docs = spark.createDataFrame([(k, "x" * (k % 20)) for k in range(200)] + [(3, "aa"), (3, "zz"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)] + [(3, 1)], "doc_id long, toxic int")
+    found = labelled.sample(docs, labels, "toxic", {0: 500, 1: 20}, 3, 1).collect()
+    ids = [r["doc_id"] for r in found]
+    assert len(ids) == len(set(ids)) and sum(r["label"] for r in found) <= 20 and all(len(r["text"] or "") <= 10 for r in found)
 
 
 def test_gapped_and_inserted_insults():
