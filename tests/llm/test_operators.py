@@ -56,18 +56,29 @@ def test_secret_candidates_are_whole_runs():
     assert secret_scan.further_spans(f"see {letters} {letters}", [(4, 10, "assign")]) == [(45, 85)]
 
 
+def test_views_show_every_character():
+    for n in (1, 39, 40, 41, 60, 61, 400):
+        text = "before " + "".join(chr(33 + k % 90) for k in range(n)) + " after"
+        rows = secret_scan.views(text, 7, 7 + n)
+        inside = [bytes(r[secret_scan.BEFORE : secret_scan.BEFORE + secret_scan.INSIDE]).rstrip(b"\0").decode() for r in rows]
+        places = [7 if k == 0 else text.index(x, 0) for k, x in enumerate(inside)] if n <= 90 else [7 + k * 20 for k in range(len(inside) - 1)] + [7 + n - 40]
+        assert {p + k for p, x in zip(places, inside, strict=True) for k in range(len(x))} == set(range(7, 7 + n))
+        assert bytes(rows[0][: secret_scan.BEFORE]).lstrip(b"\0") == b"before " and bytes(rows[-1][-secret_scan.AFTER :]).rstrip(b"\0") == b" after"
+
+
 def test_secret_network_on_unseen_findings():
     net = secret_scan.train()
     x, y = secret_scan.labelled_findings(2000, 99)
-    found = net.probability(x) >= max(net.threshold, secret_scan.FLOOR)
+    found = net.probability(x) >= net.threshold
     assert found[y > 0].mean() >= 0.94 and found[y == 0].mean() <= 0.01
 
 
 def test_secret_network_gradient():
     net = secret_scan.CharCnn()
-    x, y = secret_scan.labelled_findings(8, 3)
+    found, y = secret_scan.labelled_findings(8, 3)
+    x, y = np.concatenate(found), np.repeat(y, [len(v) for v in found])
     g = net._gradient(x, y)
-    loss = lambda: float(np.mean(np.log1p(np.exp(-np.where(y > 0, 1, -1) * net.logits(x)))))
+    loss = lambda: float(np.mean(np.log1p(np.exp(-np.where(y > 0, 1, -1) * net._forward(x)[4]))))
     for name in ("w", "v", "b"):
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
         old = net.p[name][at]
