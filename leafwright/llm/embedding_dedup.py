@@ -184,3 +184,16 @@ def brute_force(rows: list[tuple]) -> dict[int, tuple[int, int]]:
 
 
 QUERIES = {"op3_embedding_dedup": query}
+ORACLE_SQL = {
+    "op3_embedding_dedup": r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+good AS (SELECT * FROM v WHERE size > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / a.size / b.size >= 0.93),
+reach(vec_id, root) USING KEY (vec_id) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.b, min(r.root) FROM reach r JOIN links l ON l.a = r.vec_id JOIN recurring.reach o ON o.vec_id = l.b WHERE r.root < o.root GROUP BY l.b)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, r.root AS component_id, r.root = e.vec_id AS kept
+FROM embeddings e JOIN reach r ON r.vec_id = e.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+""",
+}

@@ -271,3 +271,17 @@ def brute_force(rows: list[tuple], percent: int = PERCENT) -> dict[int, tuple[in
 
 
 QUERIES = {"op10_minhash_dedup": query}
+ORACLE_SQL = {
+    "op10_minhash_dedup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(words[i:i + 4], ' ')) AS h FROM w, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS t(i)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM shared x JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * x.n >= 85 * (p.n + q.n - x.n)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach(doc_id, root) USING KEY (doc_id) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.b, min(r.root) FROM reach r JOIN links l ON l.a = r.doc_id JOIN recurring.reach o ON o.doc_id = l.b WHERE r.root < o.root GROUP BY l.b)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, r.root AS component_id, r.root = d.doc_id AS kept FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+""",
+}

@@ -269,3 +269,18 @@ def brute_force(rows: list[tuple]) -> dict[int, tuple[int, int, str]]:
 
 
 QUERIES = {"op1_substring_dedup": query}
+ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, i, sha256(array_to_string(words[i:i + 19], ' ')) AS h FROM w, unnest(range(1, len(words) - 18)) AS t(i)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+edges AS (SELECT doc_id, i AS place, 1 AS step FROM later UNION ALL SELECT doc_id, i + 20, -1 FROM later),
+steps AS (SELECT doc_id, place, sum(step) AS step FROM edges GROUP BY ALL),
+level AS (SELECT doc_id, place, sum(step) OVER (PARTITION BY doc_id ORDER BY place) AS open, lead(place) OVER (PARTITION BY doc_id ORDER BY place) AS until FROM steps),
+gone AS (SELECT doc_id, list({'a': place, 'b': until} ORDER BY place) AS runs FROM (SELECT doc_id, place, until FROM level WHERE open > 0) GROUP BY doc_id),
+kept AS (SELECT w.doc_id, words, CASE WHEN runs IS NULL THEN words ELSE flatten(list_transform(range(0, len(runs) + 1),
+    lambda k: words[CASE WHEN k = 0 THEN 1 ELSE runs[k].b END : CASE WHEN k = len(runs) THEN len(words) ELSE runs[k + 1].a - 1 END])) END AS stay
+  FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - len(stay))::BIGINT AS n_removed, sha256(array_to_string(stay, ' ')) AS kept_sha256 FROM kept
+""",
+}
