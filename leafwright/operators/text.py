@@ -65,19 +65,9 @@ def sentences(paragraphs: DataFrame, *keys: str) -> DataFrame:
 
 def chunks(text: Column, limit: int = 240) -> Column:
     """Greedy packing of whole words into pieces of at most ``limit`` characters; a longer word is a piece of its own."""
-    words = F.split(normalised(text), " ")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-
-    def step(acc: Column, word: Column) -> Column:
-        full = (acc["open"] != "") & (F.length(acc["open"]) + 1 + F.length(word) > limit)
-        return F.struct(
-            F.when(full, F.array_append(acc["done"], acc["open"])).otherwise(acc["done"]).alias("done"),
-            F.when(full | (acc["open"] == ""), word).otherwise(F.concat_ws(" ", acc["open"], word)).alias("open"),
-        )
-
-    packed = F.aggregate(words, start, step, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"])))
-    whole = normalised(text)
-    return F.when(whole.isNull() | (whole == ""), F.array().cast("array<string>")).when(F.length(whole) <= limit, F.array(whole)).otherwise(packed)
+    # The longest run of up to ``limit`` characters that ends before a blank or at the end, else one whole word.
+    cut = F.regexp_extract_all(normalised(text), F.lit(f"([^ ].{{0,{limit - 1}}}(?= |$)|[^ ]+)"), F.lit(1))
+    return F.coalesce(cut, F.array().cast("array<string>"))
 
 
 def xml_escaped(text: Column) -> Column:

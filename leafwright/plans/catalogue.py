@@ -7,33 +7,19 @@ what they link to. All run over whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.functions.headings import section_type_column
 from leafwright.functions.vocabulary import PRICES, SOURCE_HEDGES, SUMMARY_HEDGES, TITLE_RULES
 from leafwright.operators import annotate, citations, corpus, imports, sections, text, views
+from leafwright.plans import article_queries  # noqa: F401 - puts its queries down
+from leafwright.plans.registered import QUERIES, SQL, Query, query
 from leafwright.session import table
 from leafwright.sources import files
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def put(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
 def queries() -> dict[str, Query]:
+    """All queries of this package but those of the document operators."""
     return dict(QUERIES)
 
 

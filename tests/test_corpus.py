@@ -58,7 +58,7 @@ RECORDS = [{"index": 1, "text": "Cytotherapy, 7 (2005), pp. 393-395", "doi": "10
 
 
 def test_import():
-    made = imports.XmlImport(ARTICLE, RECORDS).xml()
+    made = imports.article_xml(ARTICLE, RECORDS)
     a = jats.parse_article(made)
     assert a["article_id"] == "10-5-q" and a["meta"]["pub_date"] == "2010-00-00"
     assert [(x["surname"], x["given_names"]) for x in a["meta"]["authors"]] == [("Huard", "J. K."), ("Solo", None)]
