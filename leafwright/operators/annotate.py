@@ -133,6 +133,13 @@ def quote_span(text: str, start: int, end: int, quote: str) -> tuple[int, int] |
     return (at, at + len(bare)) if 0 <= at and at + len(bare) <= end else None
 
 
+def quote_span_column(text: Column, start: Column, end: Column, quote: Column) -> Column:
+    """quote_span() as a column: a struct of start and end, null where the quote doesn't stand in the sentence."""
+    bare = F.regexp_replace(quote, r"^\s+|\s+$", "")
+    at = F.position(bare, text, start + 1)
+    return F.when((bare != "") & (at > 0) & (at - 1 + F.length(bare) <= end), F.struct((at - 1).alias("start"), (at - 1 + F.length(bare)).alias("end")))
+
+
 def _number(value: object) -> float | None:
     return float(value) if isinstance(value, (int, float)) and not isinstance(value, bool) and abs(value) < float("inf") else None
 

@@ -30,6 +30,12 @@ def never_mentioned(targets: DataFrame, mentions: DataFrame) -> DataFrame:
     return targets.join(mentions.select("article_id", "xml_id").distinct(), ["article_id", "xml_id"], "left_anti")
 
 
+def unnamed(targets: DataFrame, paragraphs: DataFrame, ids: str) -> DataFrame:
+    """Targets that no paragraph names, straight from the named ids; targets without an id are among them."""
+    named = paragraphs.select("article_id", F.explode(ids).alias("xml_id")).distinct()
+    return targets.join(named, ["article_id", "xml_id"], "left_anti")
+
+
 def numbered(references: DataFrame) -> DataFrame:
     """(article_id, number, xml_id): a reference's number is its label's digits, else its place; the first of a number wins."""
     digits = F.regexp_replace(F.coalesce("label", F.lit("")), "[^0-9]", "")

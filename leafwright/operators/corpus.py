@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +18,11 @@ MANUAL = "manual"
 def licence_basis(text: Column, url: Column) -> Column:
     """NC, ND, CC BY, none or undetermined; only CC BY may be passed on."""
     both = F.lower(F.concat(F.coalesce(url, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
+    some = lambda *words: reduce(or_, (both.contains(w) for w in words))
     return (
-        F.when(both.rlike("by-nc|noncommercial|non-commercial"), F.lit("NC"))
-        .when(both.rlike("by-nd|noderiv"), F.lit("ND"))
-        .when(both.rlike(r"creativecommons\.org/licenses/by/|(?<![a-z0-9_])cc[\s-]?by(?![a-z0-9_])"), F.lit("CC BY"))
+        F.when(some("by-nc", "noncommercial", "non-commercial"), F.lit("NC"))
+        .when(some("by-nd", "noderiv"), F.lit("ND"))
+        .when(some("creativecommons.org/licenses/by/") | both.contains("cc") & both.rlike(r"(?<![a-z0-9_])cc[\s-]?by(?![a-z0-9_])"), F.lit("CC BY"))
         .when(F.trim(both) == "", F.lit("none"))
         .otherwise(F.lit("undetermined"))
     )

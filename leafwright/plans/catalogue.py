@@ -7,6 +7,8 @@ what they link to. All run over whole tables.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,20 +66,17 @@ def equal_texts(spark: SparkSession, sf: str) -> DataFrame:
     return text.distinct_by_hash(table(spark, sf, "documents"))
 
 
-@query(r"""
-WITH RECURSIVE w AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[\t\n\v\f\r ]+', ' ', 'g')), ' ') AS words FROM documents WHERE length(text) <= 3000),
-packed AS (
-  SELECT doc_id, words, 1 AS k, length(words[1]) AS used, 1 AS chunk FROM w
+@query(f"""
+WITH RECURSIVE w AS (SELECT doc_id, trim(regexp_replace(text, '{_SQL_BLANK}', ' ', 'g')) AS text FROM documents),
+cut AS (
+  SELECT doc_id, 0 AS chunk, '' AS piece, text AS rest FROM w WHERE text <> ''
   UNION ALL
-  SELECT doc_id, words, k + 1, CASE WHEN used + 1 + length(words[k + 1]) > 240 THEN length(words[k + 1]) ELSE used + 1 + length(words[k + 1]) END,
-    chunk + CASE WHEN used + 1 + length(words[k + 1]) > 240 THEN 1 ELSE 0 END
-  FROM packed WHERE k < len(words))
-SELECT doc_id, chunk::BIGINT AS chunk, max(used)::BIGINT AS n_chars FROM packed GROUP BY ALL
+  SELECT doc_id, chunk + 1, piece, ltrim(substr(rest, length(piece) + 1)) FROM (SELECT doc_id, chunk, rest, regexp_extract(rest, '^([^ ].{{0,239}})( |$)|^[^ ]+', 0).rtrim() AS piece FROM cut WHERE rest <> ''))
+SELECT doc_id, chunk::BIGINT AS chunk, length(piece)::BIGINT AS n_chars FROM cut WHERE chunk > 0
 """)
 def utterances(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts of up to 3,000 characters in pieces of whole words up to 240 (C10); the bound is part of the question."""
-    short = table(spark, sf, "documents").where(F.length("text") <= 3000)
-    cut = short.select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("k", "piece"))
+    """Texts in pieces of whole words up to 240 characters."""
+    cut = table(spark, sf, "documents").select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("k", "piece"))
     return cut.select("doc_id", (F.col("k") + 1).cast("long").alias("chunk"), F.length("piece").cast("long").alias("n_chars"))
 
 
@@ -224,11 +223,10 @@ def first_mention(spark: SparkSession, sf: str) -> DataFrame:
     return citations.first_mentions(_cited(spark, sf), _figures(spark, sf), "fig_ids")
 
 
-@query(f"WITH {_SQL_CITED} SELECT article_id, xml_id FROM figs f WHERE NOT EXISTS (SELECT 1 FROM home h WHERE h.article_id = f.article_id AND h.xml_id = f.xml_id)")
+@query(f"WITH {_SQL_CITED.split('home AS')[0].rstrip().rstrip(',')} SELECT article_id, xml_id FROM figs EXCEPT SELECT article_id, xml_id FROM named")
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Figures that no paragraph names."""
-    figs = _figures(spark, sf)
-    return citations.never_mentioned(figs, citations.first_mentions(_cited(spark, sf), figs, "fig_ids")).select("article_id", "xml_id")
+    return citations.unnamed(_figures(spark, sf), _cited(spark, sf), "fig_ids").select("article_id", "xml_id")
 
 
 @query(f"WITH {_SQL_CITED} SELECT n.article_id, n.ord::BIGINT AS ord, n.xml_id, f.xml_id IS NOT NULL AS resolved FROM named n LEFT JOIN figs f ON n.article_id = f.article_id AND n.xml_id = f.xml_id")
@@ -251,8 +249,8 @@ def citation_ranges(spark: SparkSession, sf: str) -> DataFrame:
     refs = item.select(F.col("l_orderkey").alias("article_id"), label.alias("label"), F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("xml_id"), (F.col("l_linenumber") - 1).cast("long").alias("ord"))
     last = (F.col("l_linenumber") + F.col("l_quantity")).cast("long")
     pairs = item.select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").cast("string").alias("first"), last.cast("string").alias("last"), F.when(F.col("l_linenumber") % 3 == 0, ", ").when(F.col("l_linenumber") % 3 == 1, " - ").otherwise("–").alias("between"))
-    found = citations.opened_ranges(pairs, refs)
-    return found.select("article_id", F.col("first").cast("long").alias("a"), F.col("last").cast("long").alias("b"), "number", "xml_id").distinct()
+    found = citations.opened_ranges(pairs.withColumn("between", citations.separator(F.col("between"))).distinct(), refs)
+    return found.select("article_id", F.col("first").cast("long").alias("a"), F.col("last").cast("long").alias("b"), "number", "xml_id")
 
 
 @query("""
@@ -289,8 +287,8 @@ def citation_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _units(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversations as articles and turns as paragraphs of one sentence a line."""
-    spans = F.transform(F.sequence(F.lit(1), F.col("turn").cast("int") % 4 + 1), lambda k: F.struct(F.concat(F.lit("s"), k.cast("string")).alias("sentence_id"), (k - 1).alias("start"), k.alias("end")))
+    """Conversations as articles and turns as paragraphs with a few sentences of one character."""
+    spans = F.transform(F.sequence(F.lit(1), F.col("turn").cast("int") % 4 + 1), lambda k: F.struct(F.concat(F.lit("p"), F.col("turn").cast("string"), F.lit("-s"), k.cast("string")).alias("sentence_id"), (k - 1).alias("start"), k.alias("end")))
     kind = F.element_at(F.array(*map(F.lit, ("abstract", "methods", "results", "funding"))), (F.col("turn") % 4 + 1).cast("int"))
     return table(spark, sf, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("article_id"), F.concat(F.lit("p"), F.col("turn").cast("string")).alias("paragraph_id"), F.col("turn").alias("ord"), kind.alias("section_type"), F.col("role").alias("section_title"), "text", spans.alias("sentences"))
 
@@ -328,25 +326,84 @@ def cache_probe(spark: SparkSession, sf: str) -> DataFrame:
     return annotate.estimate(looked, annotate.PARAGRAPH).select("article_id", "n_units", "n_sentences", "n_cached")
 
 
-@query(f"WITH {_SQL_UNITS} SELECT article_id, 'paragraph' AS pass, count(*) FILTER (section_type <> 'funding') AS applied FROM u GROUP BY article_id")
+def _paragraph_caller(_: str, batch: list[dict]) -> str:
+    """Answers that are good, missing, of an unknown role, given twice, empty, or of an unknown paragraph, by the turn's number."""
+    rows = []
+    for u in batch:
+        good = {"id": u["paragraph_id"], "role": ("method", "result", "claim")[u["ord"] % 3], "gist": f" gist {u['ord']} ", "plain": "It was found." if u["ord"] % 2 else f"May be {u['ord']}."}
+        case = u["ord"] % 7
+        rows += [] if case == 1 else [good | {"role": "no such"}] if case == 2 else [good, good | {"gist": "again"}] if case == 3 else [good | {"plain": "  "}] if case == 4 else [good]
+        rows += [good | {"id": f"x{u['ord']}"}] if case == 5 else []
+    return json.dumps({"paragraphs": rows})
+
+
+_SQL_ANSWERS = f"""{_SQL_UNITS}, c AS (SELECT conv_id, 'c' || conv_id AS article_id, 'p' || turn AS paragraph_id, turn, text FROM conversations),
+r AS (SELECT c.article_id, c.paragraph_id, turn, turn % 7 AS kase, section_type <> 'funding' AS asked, ['method', 'result', 'claim'][(turn % 3)::INT + 1] AS role, CASE WHEN turn % 2 = 1 THEN 'It was found.' ELSE 'May be ' || turn || '.' END AS plain,
+  regexp_matches(c.text, '{_sql_any(SOURCE_HEDGES)}') AS hedges FROM c JOIN u ON u.article_id = c.article_id AND u.ord = c.turn),
+g AS (SELECT *, asked AND kase NOT IN (1, 2, 4) AS good FROM r), w AS (SELECT *, good AND role <> 'method' AND hedges AND turn % 2 = 1 AS lost FROM g)"""
+
+
+@query(f"""WITH {_SQL_ANSWERS} SELECT article_id, paragraph_id, good AS applied, CASE WHEN good THEN role END AS role, CASE WHEN good THEN 'gist ' || turn END AS gist, CASE WHEN good THEN plain END AS plain, CASE WHEN lost THEN paragraph_id || ': source hedges, summary does not' ELSE '' END AS warned FROM w""")
 def annotated(spark: SparkSession, sf: str) -> DataFrame:
-    """A whole run with the deterministic caller: units, batches, calls, validation, merge, record."""
-    run = annotate.annotate(_units(spark, sf), _cache(spark, sf).limit(0), annotate.PARAGRAPH, "m")
-    return run.record.select("article_id", "pass", "applied")
+    """A whole run of the paragraph pass, row by row: units, batches, calls, validation, merge."""
+    run = annotate.annotate(_units(spark, sf), _cache(spark, sf).limit(0), annotate.PARAGRAPH, "m", _paragraph_caller)
+    return run.paragraphs.select("article_id", "paragraph_id", "applied", "role", "gist", "plain", F.array_join("merge_warnings", "|").alias("warned"))
+
+
+@query(f"""WITH {_SQL_ANSWERS} SELECT article_id, 'paragraph' AS pass, 'm' AS model, 'paragraph-1' AS prompt_version, count(*) FILTER (good) AS applied, 0::BIGINT AS cached,
+  sum(CASE WHEN NOT asked THEN 0 WHEN kase IN (2, 4) THEN 2 WHEN kase IN (1, 3, 5) THEN 1 ELSE 0 END + CASE WHEN lost THEN 1 ELSE 0 END)::BIGINT AS n_warnings FROM w GROUP BY article_id""")
+def annotation_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run notes for each article."""
+    run = annotate.annotate(_units(spark, sf), _cache(spark, sf).limit(0), annotate.PARAGRAPH, "m", _paragraph_caller)
+    return run.record.select("article_id", "pass", "model", "prompt_version", "applied", F.col("cached").cast("long").alias("cached"), F.size("warnings").cast("long").alias("n_warnings"))
+
+
+@query(f"WITH {_SQL_ANSWERS} SELECT DISTINCT u.cache_key FROM w JOIN u ON u.article_id = w.article_id AND u.paragraph_id = w.paragraph_id WHERE good")
+def annotation_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that a run adds to an empty cache: complete answers only."""
+    return annotate.annotate(_units(spark, sf), _cache(spark, sf).limit(0), annotate.PARAGRAPH, "m", _paragraph_caller).cache.select("cache_key")
+
+
+def _sentence_caller(_: str, batch: list[dict]) -> str:
+    """Every sentence but the last of each third paragraph, with one quote that is there and one that leaves the sentence."""
+    rows = []
+    for u in batch:
+        for k, s in enumerate(u["sentences"]):
+            if u["ord"] % 3 != 1 or k + 1 < len(u["sentences"]):
+                said = u["text"][s["start"] : s["end"]]
+                stats = [{"quote": said, "metric": "m", "value": 1.5, "unit": 7, "p": True}, {"quote": u["text"][s["start"] : s["end"] + 30] + "#", "value": 2}]
+                rows.append({"id": s["sentence_id"], "certainty": "hedged" if u["ord"] % 2 else "bogus" if k == 2 else "measured", "hedges": [f" {said} ", "zzz no such text", 5], "stats": stats})
+    return json.dumps({"sentences": rows})
 
 
 @query("""
-WITH q AS (SELECT doc_id, text, length(text) // 3 AS a, 2 * length(text) // 3 AS b, substr(text, length(text) // 3 + 1 + (doc_id % 5)::INT, 6) AS quote FROM documents WHERE length(text) > 60),
-f AS (SELECT *, trim(quote) AS bare, instr(substr(text, a + 1), trim(quote)) AS pos FROM q)
-SELECT doc_id, CASE WHEN bare <> '' AND pos > 0 AND a + pos - 1 + length(bare) <= b THEN (a + pos - 1)::BIGINT END AS start FROM f
+WITH u AS (SELECT 'c' || conv_id AS article_id, 'p' || turn AS paragraph_id, turn, text, ['abstract', 'methods', 'results', 'funding'][(turn % 4)::INT + 1] AS section_type, unnest(range(1, turn % 4 + 2)) AS k FROM conversations),
+s AS (SELECT *, section_type IN ('abstract', 'results') AND NOT (turn % 3 = 1 AND k = turn % 4 + 1) AND (turn % 2 = 1 OR k <> 3) AS answered, regexp_replace(substr(text, k, 1), '^\s+$', '') <> '' AS there FROM u)
+SELECT article_id, paragraph_id, paragraph_id || '-s' || k AS sentence_id, CASE WHEN answered THEN CASE WHEN turn % 2 = 1 THEN 'hedged' ELSE 'measured' END END AS certainty,
+  CASE WHEN answered AND there THEN (k - 1) || '-' || k ELSE '' END AS hedges, CASE WHEN answered AND there THEN 'm:1.5:' || (k - 1) || '-' || k ELSE '' END AS stats FROM s
+""")
+def annotated_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run of the sentence pass: quotes become spans, those outside their sentence are dropped."""
+    run = annotate.annotate(_units(spark, sf), _cache(spark, sf).limit(0), annotate.SENTENCE, "m", _sentence_caller)
+    each = run.paragraphs.select("article_id", "paragraph_id", F.explode("sentences").alias("s"))
+    span = lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))
+    stats = F.transform("s.stats", lambda x: F.concat_ws(":", x["metric"], x["value"].cast("string"), x["unit"], x["p"].cast("string"), span(x)))
+    none = F.lit("")
+    return each.select("article_id", "paragraph_id", "s.sentence_id", "s.certainty", F.coalesce(F.array_join(F.transform("s.hedges", span), "|"), none).alias("hedges"), F.coalesce(F.array_join(stats, "|"), none).alias("stats"))
+
+
+@query(r"""
+WITH q AS (SELECT doc_id, text, length(text) // 3 AS a, 2 * length(text) // 3 AS b, regexp_replace(substr(text, length(text) // 3 + 1 + (doc_id % 5)::INT, 6), '^\s+|\s+$', '', 'g') AS bare FROM documents),
+f AS (SELECT *, instr(substr(text, a + 1), bare) AS pos FROM q), g AS (SELECT *, (a + pos - 1)::BIGINT AS start, bare <> '' AND pos > 0 AND a + pos - 1 + length(bare) <= b AS good FROM f)
+SELECT doc_id, CASE WHEN good THEN start END AS start, CASE WHEN good THEN start + length(bare) END AS "end" FROM g
 """)
 def quote_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Quotes found verbatim inside a span."""
-    docs = table(spark, sf, "documents").where(F.length("text") > 60)
+    docs = table(spark, sf, "documents")
     a, b = F.floor(F.length("text") / 3).cast("int"), F.floor(2 * F.length("text") / 3).cast("int")
-    bare = F.trim(F.substring(F.col("text"), a + 1 + (F.col("doc_id") % 5).cast("int"), F.lit(6)))
-    at = F.locate_in(bare, F.col("text"), a + 1) if hasattr(F, "locate_in") else F.position(bare, F.col("text"), a + 1)
-    return docs.select("doc_id", F.when((bare != "") & (at > 0) & (at - 1 + F.length(bare) <= b), (at - 1).cast("long")).alias("start"))
+    quote = F.substring(F.col("text"), a + 1 + (F.col("doc_id") % 5).cast("int"), F.lit(6))
+    found = docs.select("doc_id", annotate.quote_span_column(F.col("text"), a, b, quote).alias("span"))
+    return found.select("doc_id", F.col("span.start").cast("long").alias("start"), F.col("span.end").cast("long").alias("end"))
 
 
 _SQL_PRICES = ", ".join(f"('{k}', {a}, {b})" for k, (a, b) in PRICES.items())
@@ -511,13 +568,13 @@ def reference_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH l AS (SELECT s_suppkey, n_name || ' ' || (1990 + s_suppkey % 4) AS label, s_suppkey % 400 AS k FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 8 < 3),
+WITH l AS (SELECT s_suppkey, n_name || ' ' || (1990 + s_suppkey % 4) AS label, s_suppkey % 400 AS k FROM supplier JOIN nation ON n_nationkey = s_nationkey),
 n AS (SELECT *, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label ORDER BY s_suppkey) AS r FROM l)
 SELECT s_suppkey, CASE WHEN n > 1 THEN label || chr((96 + r)::INT) ELSE label END AS label FROM n
 """)
 def library_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Author and year, told apart where they collide."""
-    named = table(spark, sf, "supplier").where("s_suppkey % 8 < 3").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    named = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
     labelled = named.select("s_suppkey", F.concat("n_name", F.lit(" "), (1990 + F.col("s_suppkey") % 4).cast("string")).alias("label"))
     return views.collision_suffix(labelled, "label", "s_suppkey")
 
@@ -529,14 +586,14 @@ def role_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT ['measured', 'supported', 'hedged'][(event_id % 3)::INT + 1] AS certainty FROM events WHERE user_id % 4 <> 0),
+WITH c AS (SELECT CASE WHEN user_id % 4 <> 0 THEN ['measured', 'supported', 'hedged'][(event_id % 3)::INT + 1] END AS certainty FROM events),
 n AS (SELECT k.rank, k.certainty, count(c.certainty) AS n FROM (VALUES (0, 'measured'), (1, 'supported'), (2, 'hedged'), (3, 'speculative')) AS k(rank, certainty) LEFT JOIN c ON c.certainty = k.certainty GROUP BY ALL)
 SELECT rank, certainty, n, floor(n / sum(n) OVER () * 50 + 0.5)::BIGINT AS bar FROM n
 """)
 def certainty_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts by certainty in its order, with bars of fifty (F2)."""
+    """Counts by certainty in its order, with bars of fifty; what has none doesn't count (F2)."""
     label = F.element_at(F.array(*map(F.lit, ("measured", "supported", "hedged"))), (F.col("event_id") % 3 + 1).cast("int"))
-    return views.certainty_distribution(table(spark, sf, "events").where("user_id % 4 <> 0").select(label.alias("certainty")))
+    return views.certainty_distribution(table(spark, sf, "events").select(F.when(F.col("user_id") % 4 != 0, label).alias("certainty")))
 
 
 @query("""
@@ -598,16 +655,25 @@ def figure_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH r AS (SELECT conv_id, turn, role, text, ['measured', 'supported', 'hedged'][(turn % 3)::INT + 1] AS certainty FROM conversations WHERE length(text) > 12)
-SELECT conv_id, turn, '«' || substr(text, 1, 4) || '»' || substr(text, 5, 8) AS sentence FROM r WHERE role = 'user' AND certainty = 'hedged'
+WITH r AS (SELECT conv_id, turn, role, substr(text, 1, 12) AS said, CASE turn % 4 WHEN 0 THEN 'measured' WHEN 1 THEN 'supported' WHEN 2 THEN 'hedged' END AS certainty FROM conversations)
+SELECT conv_id, turn, certainty, CASE WHEN length(said) >= 4 THEN '«' || substr(said, 1, 4) || '»' || substr(said, 5) ELSE said END AS sentence FROM r WHERE role = 'user' AND certainty IS NOT NULL
 """)
 def hedged_sentences(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentences of a section with a certainty, hedges marked."""
-    label = F.element_at(F.array(*map(F.lit, ("measured", "supported", "hedged"))), (F.col("turn") % 3 + 1).cast("int"))
-    sentence = F.struct(F.lit("s1").alias("sentence_id"), F.lit(0).alias("start"), F.lit(12).alias("end"), label.alias("certainty"), F.array(F.struct(F.lit(0).alias("start"), F.lit(4).alias("end"))).alias("hedges"), F.lit(None).cast(annotate.STATS).alias("stats"))
-    turns = table(spark, sf, "conversations").where(F.length("text") > 12)
-    rows = turns.select(F.col("conv_id").alias("article_id"), F.col("turn").alias("paragraph_id"), F.col("role").alias("section_type"), "text", F.array(sentence).alias("sentences"))
-    return views.filtered_sentences(rows, section="user", certainty="hedged").select(F.col("article_id").alias("conv_id"), F.col("paragraph_id").alias("turn"), "sentence")
+    """Sentences of a section that have a certainty, hedges marked."""
+    label = F.when(F.col("turn") % 4 == 0, "measured").when(F.col("turn") % 4 == 1, "supported").when(F.col("turn") % 4 == 2, "hedged")
+    sentence = F.struct(F.lit("s1").alias("sentence_id"), F.lit(0).alias("start"), F.least(F.lit(12), F.length("text")).alias("end"), label.alias("certainty"), F.array(F.struct(F.lit(0).alias("start"), F.lit(4).alias("end"))).alias("hedges"), F.lit(None).cast(annotate.STATS).alias("stats"))
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("article_id"), F.col("turn").alias("paragraph_id"), F.col("role").alias("section_type"), "text", F.array(sentence).alias("sentences"))
+    return views.filtered_sentences(rows, section="user").select(F.col("article_id").alias("conv_id"), F.col("paragraph_id").alias("turn"), "certainty", "sentence")
+
+
+@query("""
+SELECT conv_id, turn, ['method', 'result', 'interpretation'][(turn % 3)::INT + 1] AS role FROM conversations WHERE turn % 2 = 0 AND role = 'user' AND turn % 3 = 1
+""")
+def report_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotated paragraphs of a section type and a role."""
+    label = F.element_at(F.array(*map(F.lit, _ROLE)), (F.col("turn") % 3 + 1).cast("int"))
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("article_id"), F.col("turn").alias("paragraph_id"), F.col("role").alias("section_type"), label.alias("role"), F.when(F.col("turn") % 2 == 0, "g").alias("gist"), F.lit(None).cast("string").alias("plain"))
+    return views.filtered_paragraphs(rows, section="user", role="result").select(F.col("article_id").alias("conv_id"), F.col("paragraph_id").alias("turn"), "role")
 
 
 @query("""

@@ -7,6 +7,7 @@ is normalised while it is put together, so offsets that were noted never move.
 from __future__ import annotations
 
 import re
+from html.parser import HTMLParser
 from typing import Any
 from xml.dom import minidom
 from xml.parsers.expat import ExpatError
@@ -342,16 +343,54 @@ def _flat(sections: list[dict], part: str, parent: str | None, path: list[int],
         _flat(s["sections"], part, s["section_id"], own, out)
 
 
-def parse_article(xml: str | bytes, fallback: str = "unknown") -> dict:
-    """One article as flat lists; raises ValueError if there is none to be read."""
+class _Mender(HTMLParser):
+    """Reads what is not well-formed: an end tag closes its element and all within, one without a start is left out, and the end closes the rest."""
+
+    CDATA_CONTENT_ELEMENTS = ()
+    RCDATA_CONTENT_ELEMENTS = ()
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.document = minidom.Document()
+        self.open: list[Node] = [self.document]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        node = self.document.createElement(tag)
+        for name, value in attrs:
+            node.setAttribute(name, value or "")
+        if len(self.open) > 1 or self.document.documentElement is None:
+            self.open[-1].appendChild(node)
+            self.open.append(node)
+
+    def handle_endtag(self, tag: str) -> None:
+        at = next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k].nodeName == tag), 0)
+        if at:
+            del self.open[at:]
+
+    def handle_data(self, data: str) -> None:
+        if len(self.open) > 1:
+            self.open[-1].appendChild(self.document.createTextNode(data))
+
+
+def read_document(xml: str | bytes, warnings: list[str]) -> Node:
+    """The document; what is not well-formed is mended as far as it goes, with a warning."""
     try:
-        document = minidom.parseString(xml.encode() if isinstance(xml, str) else xml)
+        return minidom.parseString(xml.encode() if isinstance(xml, str) else xml)
     except ExpatError as e:
-        raise ValueError(f"not well-formed: {e}") from e
+        warnings.append(f"not well-formed: {e}")
+        mender = _Mender()
+        mender.feed(xml if isinstance(xml, str) else xml.decode("utf-8", "replace"))
+        mender.close()
+        return mender.document
+
+
+def parse_article(xml: str | bytes, fallback: str = "unknown") -> dict:
+    """One article as flat lists, of the first article element; raises ValueError if there is none to be read."""
+    warnings: list[str] = []
+    document = read_document(xml, warnings)
     article = first_below(document, "article")
     if article is None:
-        raise ValueError("no article element")
-    warnings: list[str] = []
+        raise ValueError("; ".join(["no article element", *warnings]))
     meta = _meta(article, warnings)
     abstract = _abstract(only(only(article, "front"), "article-meta"), warnings)
     body, back = only(article, "body"), only(article, "back")

@@ -87,12 +87,23 @@ def test_text_never_moves():
 
 
 def test_what_is_no_article():
-    for bad in ("", "<html/>", "<article><p></article>"):
+    for bad in ("", "<html/>", "no markup"):
         with pytest.raises(ValueError):
             jats.parse_article(bad)
     assert jats.parse_article("<article/>")["warnings"][:2] == ["no doi", "no title"]
 
 
+def test_what_is_not_well_formed_is_mended_with_a_warning():
+    broken = XML.replace("<sup>+</sup>", "<sup>+").replace("</italic> = 0.01", "</italic></bold> = 0.01 &amp; &odd;", 1)
+    found = jats.parse_article(broken)
+    whole = jats.parse_article(XML)
+    assert found["warnings"][0].startswith("not well-formed") and found["meta"]["doi"] == whole["meta"]["doi"]
+    assert [p["text"] for p in found["paragraphs"]][1:] == [p["text"] for p in whole["paragraphs"]][1:]
+    assert found["paragraphs"][0]["text"].startswith("First fact (p = 0.01 & &odd;). Second +")
+    cut = jats.parse_article(XML[: XML.index("<back>")])
+    assert [p["paragraph_id"] for p in cut["paragraphs"]] == [p["paragraph_id"] for p in whole["paragraphs"] if p["paragraph_id"][0] != "b"]
+
+
 def test_title_column_is_the_parsers_rule(spark):
     titles = ["1. Introduction", "Background", "Patients and methods", "Methodology", "2.3 Study design", "Results and Discussion", "Case 2", "Limitation", "émethods", "Data availability statement", "Other thing", "", None]
     rows = [(t, s, n, p) for t in titles for s in (None, "Intro", "bogus", "COI_statement") for n in (1, 2) for p in (None, "results")]
