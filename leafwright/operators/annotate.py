@@ -318,3 +318,16 @@ def cost(usage: DataFrame) -> DataFrame:
     prices = spark.createDataFrame([(k, *v) for k, v in PRICES.items()], "model string, price_in double, price_out double")
     total = usage.groupBy("model").agg(F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"))
     return total.join(F.broadcast(prices), "model", "left").select("model", "input_tokens", "output_tokens", ((F.col("input_tokens") * F.col("price_in") + F.col("output_tokens") * F.col("price_out")) / 1e6).alias("cost"))
+
+
+def stamped(rows: DataFrame, at: Column | None = None) -> DataFrame:
+    """Rows with ``saved_at``, the moment in UTC to the millisecond; ``at`` stands in for the clock."""
+    moment = F.current_timestamp() if at is None else at
+    return rows.withColumn("saved_at", F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+
+
+def latest(cache: DataFrame) -> DataFrame:
+    """One entry for each pass and key: the one saved last."""
+    rest = [c for c in cache.columns if c not in ("pass", "cache_key")]
+    newest = cache.groupBy("pass", "cache_key").agg(F.max_by(F.struct(*rest), F.col("saved_at")).alias("e"))
+    return newest.select("pass", "cache_key", "e.*")

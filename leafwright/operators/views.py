@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafwright.functions.vocabulary import BACK_TYPES, CERTAINTY
-from leafwright.operators.text import chunks, sentence_spans_column, span_text
+from leafwright.operators.text import chunks, normalised, sentence_spans_column, span_text, xml_escaped
 
 
 def collision_suffix(rows: DataFrame, label: str, *order: str) -> DataFrame:
@@ -76,6 +76,40 @@ def speech_units(paragraphs: DataFrame, limit: int = 240) -> DataFrame:
     return paragraphs.withColumn("spans", spans).withColumn("said", said).select("article_id", "paragraph_id", "ord", F.flatten(F.transform(source, lambda x: chunks(x, limit))).alias("parts"))
 
 
+def page_speech(page_rows: DataFrame, sections: DataFrame, paragraphs: DataFrame, limit: int = 240) -> DataFrame:
+    """(article_id, page, ord, place, parts): what is read out on each page, in order: each section's title, then its paragraphs' sentences."""
+    said = speech_units(paragraphs, limit).join(paragraph_pages(page_rows, paragraphs), ["article_id", "paragraph_id"])
+    body = said.join(paragraphs.select("article_id", "paragraph_id", "section_id"), ["article_id", "paragraph_id"])
+    place = sections.where(normalised(F.coalesce("title", F.lit(""))) != "").select("article_id", "section_id", F.col("ord").alias("section_ord"), "title")
+    order = sections.select("article_id", "section_id", F.col("ord").alias("section_ord"))
+    spoken = body.join(order, ["article_id", "section_id"]).select("article_id", "page", "section_ord", F.lit(1).alias("rank"), "ord", "parts")
+    first = spoken.groupBy("article_id", "section_ord").agg(F.min("page").alias("page"))
+    titles = place.join(first, ["article_id", "section_ord"], "left")
+    # A title without text of its own is read where the text below it is: on the page of its top-level section.
+    top = page_rows.select("article_id", F.col("page").alias("top_page"), F.explode("section_ids").alias("top"))
+    titles = titles.withColumn("top", F.split("section_id", "-")[0]).join(top, ["article_id", "top"], "left")
+    heads = titles.select("article_id", F.coalesce("page", "top_page").alias("page"), "section_ord", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"), chunks(F.col("title"), limit).alias("parts")).where("page IS NOT NULL")
+    number = F.row_number().over(W.partitionBy("article_id", "page").orderBy("section_ord", "rank", "ord"))
+    return heads.unionByName(spoken).withColumn("place", number).select("article_id", "page", "place", "parts")
+
+
+def overlaid(text: Column, decorations: Column) -> Column:
+    """Text as XML with its decorations (start, end, kind) as marks. Of those that overlap the ones to the left stay; a
+    pair of square brackets right around a reference goes into its mark."""
+    ranked = F.array_sort(decorations, lambda x, y: F.when(x["start"] != y["start"], x["start"] - y["start"]).when(x["end"] != y["end"], y["end"] - x["end"]).otherwise(0).cast("int"))
+    piece = lambda a, b: xml_escaped(F.substring(text, a + 1, F.greatest(b - a, F.lit(0))))
+    start = F.struct(F.lit(0).alias("done"), F.lit("").alias("out"))
+
+    def step(acc: Column, d: Column) -> Column:
+        around = (d["kind"] == "ref") & (F.substring(text, d["start"], F.lit(1)) == "[") & (F.substring(text, d["end"] + 1, F.lit(1)) == "]") & (d["start"] > acc["done"])
+        a, b = d["start"] - around.cast("int"), d["end"] + around.cast("int")
+        fits = (d["start"] >= acc["done"]) & (d["end"] > d["start"]) & (d["end"] <= F.length(text))
+        shown = F.concat(acc["out"], piece(acc["done"], a), F.lit('<mark class="'), d["kind"], F.lit('">'), piece(a, b), F.lit("</mark>"))
+        return F.struct(F.when(fits, b).otherwise(acc["done"]).alias("done"), F.when(fits, shown).otherwise(acc["out"]).alias("out"))
+
+    return F.coalesce(F.aggregate(ranked, start, step, lambda acc: F.concat(acc["out"], piece(acc["done"], F.length(text)))), xml_escaped(text))
+
+
 def with_placed(paragraphs: DataFrame, mentions: DataFrame, targets: DataFrame) -> DataFrame:
     """Paragraphs with the figures or tables whose first mention they hold."""
     shown = mentions.join(targets.select("article_id", "xml_id", "label"), ["article_id", "xml_id"]).groupBy("article_id", "paragraph_id").agg(F.sort_array(F.collect_list(F.struct("xml_id", "label"))).alias("shown"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.operators import articles, citations, imports, sections
+from leafwright.operators import articles, citations, imports, sections, views
 from leafwright.plans.registered import query
 from leafwright.session import table
 from leafwright.sources import files
@@ -95,7 +95,7 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return articles.article_tables(_parsed(spark, sf))
+    return articles.article_tables(_parsed(spark, sf).persist())  # several tables are read from one parse
 
 
 _ARTICLES = "a AS (SELECT p_partkey AS k, '10-1-' || p_partkey AS article_id, p_size AS z, p_name, p_brand, p_type FROM part)"
@@ -298,3 +298,69 @@ def import_kinds(spark: SparkSession, sf: str) -> DataFrame:
     """What JSON documents are."""
     said = F.when(F.col("n_nationkey") % 3 == 0, '{"sections":[{}],"records":[1]}').when(F.col("n_nationkey") % 3 == 1, '{"records":[1],"sections":[]}').otherwise('{"other":1}')
     return table(spark, sf, "nation").select("n_nationkey", imports.kind_of(said).alias("kind"))
+
+
+# ------------------------------------------------------------------ reading
+
+
+_SQL_PAGES = f"""{_SECTIONS}, top AS (SELECT article_id, r, section_id, CASE WHEN section_id LIKE 'b%' THEN 'tail' END AS tail, coalesce(title, type) AS label, count(*) FILTER (section_id LIKE 'b%') OVER (PARTITION BY article_id) AS n_tail FROM s WHERE level = 1 AND part = 'sections'),
+pages AS (SELECT article_id, 0 AS k, 'Abstract' AS label, NULL AS section_id FROM a UNION ALL SELECT article_id, r, label, section_id FROM top WHERE tail IS NULL OR n_tail = 1
+  UNION ALL SELECT article_id, min(r), 'Back matter', 'b' FROM top WHERE tail IS NOT NULL AND n_tail > 1 GROUP BY article_id UNION ALL SELECT article_id, 99, 'References', NULL FROM a),
+n AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY k) - 1 AS page FROM pages)"""
+
+
+def _pages(found: dict[str, DataFrame]) -> DataFrame:
+    return views.pages(found["articles"], found["sections"], found["references"], found["figures"].limit(0))
+
+
+@query(f"WITH {_SQL_PAGES} SELECT article_id, page, label, lag(label) OVER w AS previous, lead(label) OVER w AS following FROM n WINDOW w AS (PARTITION BY article_id ORDER BY page)")
+def page_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of parsed articles with the ones beside them."""
+    return views.neighbours(_pages(_tables(spark, sf))).select("article_id", "page", "label", "previous", "following")
+
+
+_SQL_PLACES = _SQL_PAGES + ", " + _PARAGRAPHS.removeprefix(_ARTICLES + ", ") + """, placed AS (SELECT p.*, n.page AS page FROM p JOIN n ON n.article_id = p.article_id AND (CASE WHEN p.r < 3 THEN n.k = 0 ELSE n.section_id = string_split(p.section_id, '-')[1] OR n.section_id = 'b' AND p.section_id LIKE 'b%' END))"""
+
+
+@query(f"WITH {_SQL_PLACES} SELECT article_id, paragraph_id, page FROM placed")
+def paragraph_places(spark: SparkSession, sf: str) -> DataFrame:
+    """The page of each paragraph (K6)."""
+    found = _tables(spark, sf)
+    return views.paragraph_pages(_pages(found), found["paragraphs"])
+
+
+@query(f"""WITH {_SQL_PLACES}, said AS (SELECT article_id, page, r, 1 AS rank, text FROM placed
+  UNION ALL SELECT s.article_id, q.page, s.r, 0, s.title FROM s JOIN (SELECT DISTINCT article_id, page, string_split(section_id, '-')[1] AS top, section_id FROM placed) q ON q.article_id = s.article_id
+    AND (CASE WHEN s.part = 'abstract' THEN q.section_id = s.section_id ELSE q.top = string_split(s.section_id, '-')[1] END) WHERE s.title IS NOT NULL)
+SELECT article_id, page, row_number() OVER (PARTITION BY article_id, page ORDER BY r, rank) AS place, text FROM (SELECT DISTINCT article_id, page, r, rank, text FROM said)""")
+def page_speech(spark: SparkSession, sf: str) -> DataFrame:
+    """What is read out on each page: titles, then sentences."""
+    found = _tables(spark, sf)
+    said = views.page_speech(_pages(found), found["sections"], found["paragraphs"])
+    return said.select("article_id", "page", F.col("place").cast("long").alias("place"), F.array_join("parts", " ").alias("text"))
+
+
+@query(f"""WITH {_PARAGRAPHS} SELECT article_id, paragraph_id, CASE WHEN paragraph_id = 's1-p2' THEN 'f1:Figure 1' END AS shown FROM p""")
+def shown_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """Paragraphs with the figures that are shown behind them."""
+    found = _tables(spark, sf)
+    homes = citations.first_mentions(found["paragraphs"], found["figures"], "fig_ids")
+    return views.with_placed(found["paragraphs"], homes, found["figures"]).select("article_id", "paragraph_id", F.array_join(F.transform("shown", lambda x: F.concat_ws(":", x["xml_id"], x["label"])), "|").alias("shown"))
+
+
+@query(f"""WITH {_ARTICLES} SELECT article_id, p_name || ' of ' || p_type AS title, 'A. B. ' || p_brand || ', Group ' || z AS authors, CASE WHEN z % 3 = 0 THEN 'paragraph: ' || z || CASE WHEN z % 2 = 0 THEN ' · sentence: 1' ELSE '' END ELSE 'not enriched' END AS passes,
+  ((z % 7 = 0)::INT + (z % 5 <> 0 AND z % 2 = 1)::INT)::BIGINT AS n_warnings FROM a""")
+def overviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Heads of articles with what each pass has applied."""
+    part = table(spark, sf, "part").where(_z() % 3 == 0)
+    key = _text("10-1-", _k()).alias("article_id")
+    records = part.select(key, F.lit("paragraph").alias("pass"), _z().alias("applied")).unionByName(part.where(_z() % 2 == 0).select(key, F.lit("sentence").alias("pass"), F.lit(1).alias("applied")))
+    return views.overview(_tables(spark, sf)["articles"], records).select("article_id", "title", "authors", "passes", "n_warnings")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'a <mark class="ref">[1,2]</mark> &lt;b&gt; <mark class="hedge">may</mark> be' ELSE '<mark class="hedge">a [1</mark>,2] &lt;b&gt; may be' END AS shown FROM lineitem""")
+def overlays(spark: SparkSession, sf: str) -> DataFrame:
+    """Text with its decorations as marks; overlaps are dropped from the left, brackets go into the mark."""
+    d = lambda a, b, kind: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(kind).alias("kind"))
+    given = F.when(F.col("l_linenumber") % 2 == 0, F.array(d(12, 15, "hedge"), d(3, 6, "ref"), d(4, 5, "ref"), d(15, 99, "ref"))).otherwise(F.array(d(0, 4, "hedge"), d(3, 6, "ref"), d(8, 8, "ref")))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", views.overlaid(F.lit("a [1,2] <b> may be"), given).alias("shown"))

@@ -538,6 +538,58 @@ def preferred_root(spark: SparkSession, sf: str) -> DataFrame:
     return files.preferred(rows, "k").select("k", "root")
 
 
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_nationkey AS n FROM customer WHERE c_nationkey % 3 <> 1), w AS (SELECT k, CASE WHEN n % 3 = 0 THEN 'private' ELSE 'public' END AS root, CASE WHEN n % 3 = 0 THEN 'public' ELSE 'private' END AS wanted FROM c)
+SELECT k AS article_id, x.kind AS kind, x.kind || k AS name, root, wanted FROM w, (VALUES ('raw', 'public'), ('cache', 'private'), ('cache', 'public')) AS x(kind, held) WHERE x.held = root
+""")
+def moves(spark: SparkSession, sf: str) -> DataFrame:
+    """Artifacts that go with a misplaced article."""
+    nation, key = F.col("c_nationkey"), F.col("c_custkey").alias("article_id")
+    wrong = table(spark, sf, "customer").where(nation % 3 != 1).select(key, F.when(nation % 3 == 0, "private").otherwise("public").alias("root"), F.when(nation % 3 == 0, "public").otherwise("private").alias("wanted"))
+    held = F.array(*[F.struct(F.lit(kind).alias("kind"), F.concat(F.lit(kind), F.col("c_custkey").cast("string")).alias("name"), F.lit(root).alias("root")) for kind, root in (("raw", "public"), ("cache", "private"), ("cache", "public"))])
+    stored = table(spark, sf, "customer").select(key, F.explode(held).alias("x")).select("article_id", "x.*")
+    return corpus.planned_moves(wrong, stored)
+
+
+@query("SELECT p_partkey AS article_id, 'f' || (p_size % 3) AS xml_id, CASE WHEN p_size % 3 = 1 THEN 'l' || p_partkey || '.jpg' END AS files FROM part")
+def carried_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Local files of figures that a rebuild keeps."""
+    part = table(spark, sf, "part")
+    old = part.select(F.col("p_partkey").alias("article_id"), F.lit("f1").alias("xml_id"), F.array(F.concat(F.lit("l"), F.col("p_partkey").cast("string"), F.lit(".jpg"))).alias("files"))
+    new = part.select(F.col("p_partkey").alias("article_id"), F.concat(F.lit("f"), (F.col("p_size") % 3).cast("string")).alias("xml_id"), F.lit(None).cast("array<string>").alias("files"))
+    return corpus.carried_figures(old.unionByName(old), new).select("article_id", "xml_id", F.array_join("files", "|").alias("files"))
+
+
+@query("""
+SELECT CASE event_id % 3 WHEN 0 THEN 'paragraph' ELSE 'sentence' END AS pass, user_id AS cache_key, max(event_id)::BIGINT AS event_id, strftime(max(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (event_id) SECOND), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS saved_at FROM events GROUP BY ALL
+""")
+def latest_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the cache's entries for a key, the one saved last; moments as UTC text."""
+    kind = F.when(F.col("event_id") % 3 == 0, "paragraph").otherwise("sentence")
+    at = F.timestamp_add("SECOND", F.col("event_id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    rows = table(spark, sf, "events").select(kind.alias("pass"), F.col("user_id").alias("cache_key"), "event_id")
+    return annotate.latest(annotate.stamped(rows, at))
+
+
+@query(f"""WITH RECURSIVE {_SQL_UNITS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY ord) AS k FROM u WHERE section_type <> 'funding'),
+packed AS (SELECT article_id, paragraph_id, k, n AS used, 0 AS batch FROM ranked WHERE k = 1
+  UNION ALL SELECT r.article_id, r.paragraph_id, r.k, CASE WHEN p.used + r.n > 4 THEN r.n ELSE p.used + r.n END, p.batch + CASE WHEN p.used + r.n > 4 THEN 1 ELSE 0 END FROM packed p JOIN ranked r ON r.article_id = p.article_id AND r.k = p.k + 1)
+SELECT article_id, paragraph_id, batch::BIGINT AS batch FROM packed WHERE batch < 2""")
+def limited_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The first two batches of each article."""
+    return annotate.batched(annotate.units(_units(spark, sf), annotate.PARAGRAPH, "m"), 4, 2).select("article_id", "paragraph_id", "batch")
+
+
+@query("SELECT 10 + p_size % 3 AS number, 'x' || p_partkey AS article_id, 's' AS section_id, 1 AS ord FROM part WHERE p_size % 3 <> 2")
+def table_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """Mentions of tables that exist."""
+    part = table(spark, sf, "part")
+    key = F.concat(F.lit("x"), F.col("p_partkey").cast("string")).alias("article_id")
+    blocks = part.select(key, F.lit("s").alias("section_id"), F.lit(1).alias("ord"), F.concat(F.lit("see Table  "), (10 + F.col("p_size") % 3).cast("string"), F.lit(", notTable 11 and Table 99")).alias("text"))
+    known = part.select(key, F.explode(F.array(F.lit(10).cast("long"), F.lit(11).cast("long"))).alias("number"))
+    return imports.table_mentions(blocks, known).select(F.col("number").cast("int").alias("number"), "article_id", "section_id", "ord")
+
+
 # ------------------------------------------------------------------ import
 
 

@@ -80,3 +80,29 @@ def write_events(events: DataFrame, path: str) -> None:
 def write_article_json(articles: DataFrame, path: str) -> None:
     """One JSON document a row, in a folder for each article."""
     articles.select("article_id", F.to_json(F.struct(*articles.columns)).alias("value")).write.mode("overwrite").partitionBy("article_id").text(path)
+
+
+def in_file_order(files: DataFrame) -> DataFrame:
+    """Files by path, as their code points sort."""
+    return files.orderBy("path")
+
+
+def by_id(rows: DataFrame, article_id: str, key: str = "article_id") -> DataFrame:
+    """The rows of one article; over stored tables the filter reaches the scan."""
+    return rows.where(F.col(key) == article_id)
+
+
+def article_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Stored articles, one JSON document each, read anew each time; documents that can't be read or have no id are left out."""
+    return read_json_rows(spark, path, schema).where(F.col("article_id").isNotNull())
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """The manifest by id, one JSON object a line; what was there is replaced."""
+    manifest.orderBy(F.collate("article_id", "UNICODE"), "article_id").coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """A stored manifest; a damaged one is an empty manifest, or fails if ``strict``."""
+    mode = "FAILFAST" if strict else "DROPMALFORMED"
+    return spark.read.schema(schema).option("mode", mode).json(path)

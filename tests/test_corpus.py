@@ -126,6 +126,37 @@ def test_speech(spark):
     assert parts[0] == "One here. " + ("word " * 46).strip() or all(len(p) <= 240 for p in parts)
 
 
+def test_stored_tables(spark, tmp_path):
+    from leafwright.operators import annotate
+
+    manifest = spark.createDataFrame([("b", "x"), ("A", "y"), ("a", None)], "article_id string, doi string")
+    files.write_manifest(manifest, str(tmp_path / "m"))
+    files.write_manifest(manifest, str(tmp_path / "m"))
+    again = files.read_manifest(spark, str(tmp_path / "m"), "article_id string, doi string")
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, manifest.collect()), key=str)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "m.json").write_text("{not json")
+    assert files.read_manifest(spark, str(tmp_path / "bad"), "article_id string").count() == 0
+    with pytest.raises(Exception):  # noqa: B017
+        files.read_manifest(spark, str(tmp_path / "bad"), "article_id string", strict=True).collect()
+    assert [r["doi"] for r in files.by_id(again, "A").collect()] == ["y"]
+    assert files.article_rows(spark, str(tmp_path / "m"), "article_id string").count() == 3
+    paths = spark.createDataFrame([("b.xml",), ("B.xml",), ("a.xml",)], "path string")
+    assert [r[0] for r in files.in_file_order(paths).collect()] == ["B.xml", "a.xml", "b.xml"]
+    at = F.lit("2024-05-06 07:08:09.5").cast("timestamp")
+    one = annotate.stamped(spark.createDataFrame([("p", "k", 1)], "pass string, cache_key string, v int"), at)
+    two = annotate.stamped(spark.createDataFrame([("p", "k", 2), ("p", "j", 3)], "pass string, cache_key string, v int"), at + F.expr("INTERVAL 1 SECOND"))
+    assert one.first()["saved_at"] == "2024-05-06T07:08:09.500Z"
+    assert {(r["cache_key"], r["v"]) for r in annotate.latest(one.unionByName(two)).collect()} == {("k", 2), ("j", 3)}
+
+
+def test_overlays(spark):
+    rows = [("a [1] b", [(3, 4, "ref")]), ("a [1] b", []), ("a [1] b", None), (None, [(0, 1, "x")]), ("&ab", [(1, 2, "x"), (1, 3, "y")]), ("[1]", [(1, 2, "ref"), (0, 1, "x")])]
+    frame = spark.createDataFrame(rows, "t string, d array<struct<start:int,end:int,kind:string>>")
+    found = [r[0] for r in frame.select(views.overlaid(F.col("t"), F.col("d"))).collect()]
+    assert found == ['a <mark class="ref">[1]</mark> b', "a [1] b", "a [1] b", None, '&amp;<mark class="y">ab</mark>', '<mark class="x">[</mark><mark class="ref">1</mark>]']
+
+
 def test_incremental_build(spark, tmp_path):
     source, target, check = tmp_path / "in", tmp_path / "out", tmp_path / "check"
     source.mkdir()
