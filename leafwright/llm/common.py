@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -50,14 +51,22 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; it is set here only where the session has none (tests)."""
+    """The folder that the cluster shares; one of this machine stands in where the session has none, and only if it runs on this machine alone."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "/tmp/leafwright-shared"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, in whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage by writing the rows to the shared folder, from which any executor can reread them."""
     spark = df.sparkSession
