@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.llm import byte_bpe, decontaminate, line_dedup, minhash_dedup, quality
-from leafwright.llm.common import read_table, shared_dir
+from leafwright.llm.common import read_table, remove, shared_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,11 +76,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
+    """All stages over documents, each written to the shared folder and read again; a stage's output goes when the next one's is there."""
     docs = read_table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            remove(spark, f"{folder}/{k - 1}_{STAGES[k - 1][0]}")
     return docs
