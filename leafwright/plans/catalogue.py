@@ -376,7 +376,7 @@ def _sentence_caller(_: str, batch: list[dict]) -> str:
     return json.dumps({"sentences": rows})
 
 
-@query("""
+@query(r"""
 WITH u AS (SELECT 'c' || conv_id AS article_id, 'p' || turn AS paragraph_id, turn, text, ['abstract', 'methods', 'results', 'funding'][(turn % 4)::INT + 1] AS section_type, unnest(range(1, turn % 4 + 2)) AS k FROM conversations),
 s AS (SELECT *, section_type IN ('abstract', 'results') AND NOT (turn % 3 = 1 AND k = turn % 4 + 1) AND (turn % 2 = 1 OR k <> 3) AS answered, regexp_replace(substr(text, k, 1), '^\s+$', '') <> '' AS there FROM u)
 SELECT article_id, paragraph_id, paragraph_id || '-s' || k AS sentence_id, CASE WHEN answered THEN CASE WHEN turn % 2 = 1 THEN 'hedged' ELSE 'measured' END END AS certainty,
