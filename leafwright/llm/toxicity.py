@@ -45,7 +45,7 @@ from leafwright.llm.common import BLANK_SPLIT, SortedMemo, Words, mapped, pieces
 from leafwright.llm.labelled import remainder, sample
 
 #: Labelled documents of each class that training takes at most.
-TRAIN_ROWS = {1: 1000, 0: 1500}
+TRAIN_ROWS = {1: 500, 0: 800}
 DIVISOR, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 LAMBDA = 0.7
@@ -55,9 +55,9 @@ WINDOW, STEP = 16, 8
 STEM, STEMS, HOLDERS, ODDS = 4, 4, 4, 2.5
 #: Margins under this are alike as further evidence.
 FLOOR = -0.25
-POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 200, 120
+POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 160, 80
 #: Clean segments from which landmarks are taken, at random first and the hardest ones then.
-HARD = 1500
+HARD = 800
 #: Weight of all clean segments together, against 1 for all witnesses, and ridge of the machine.
 CLEAN_WEIGHT, RIDGE = 20.0, 1e-4
 LOWEST = -2.0
@@ -353,8 +353,12 @@ def sentences(text: str) -> list[str]:
     return [x for x in re.split(r"(?<=[.!?])[\x20\t]+|\n+", text) if x.strip()]
 
 
-def segments_of(sentence: str) -> set[tuple[int, ...]]:
-    return {c for w in sentence.split() if len(c := codes(w)) >= 3}
+def segments_of(sentence: str, known: dict[str, tuple[int, ...]]) -> set[tuple[int, ...]]:
+    """The segments of a sentence; ``known`` keeps the codes of words."""
+    for w in sentence.split():
+        if w not in known:
+            known[w] = codes(w)
+    return {c for w in sentence.split() if len(c := known[w]) >= 3}
 
 
 def stems(code: tuple[int, ...]) -> list[tuple[int, ...]]:
@@ -392,33 +396,40 @@ def fresh_sentences(texts: list[str | None]) -> list[list[str]]:
     return out
 
 
-def _teach(machine: KernelMachine, whole: list[tuple[set, int, str | None]], hard: list[tuple] | None) -> list[tuple]:
-    """One fit on documents as (segments, label, text), and the clean segments hardest for it. A machine that was taught before first
-    rules out the witnesses on its wrong side; without both classes, or without a witness, it stays as it is."""
+def _sides(whole: list[tuple[set, int, str | None]]) -> tuple[dict[tuple, float], list[tuple]]:
+    """Witnesses, and the segments of clean sentences, of documents as (segments, label, text); nothing if either class or a witness is missing."""
     toxic, clean = [d for d, y, _ in whole if y], [d for d, y, _ in whole if not y]
     positive, negative = witnesses(toxic, clean) if toxic and clean else {}, sorted(set().union(*clean))
-    if not positive or not negative:
+    return (positive, negative) if positive and negative else ({}, [])
+
+
+def _teach(machine: KernelMachine, sides: tuple[dict[tuple, float], list[tuple]], hard: list[tuple] | None) -> list[tuple]:
+    """One fit, and the clean segments hardest for it. A machine that was taught before first rules out the witnesses on its wrong side."""
+    positive, negative = sides
+    if not positive:
         return []
     if hard is not None:
         positive = {c: n for (c, n), m in zip(positive.items(), machine.margins(list(positive)), strict=True) if m > 0} or positive
     fit(machine, positive, [c for c in negative if c not in positive], hard or random.Random(3).sample(negative, min(HARD, len(negative))))
-    return [negative[k] for k in np.argsort(-machine.margins(negative), kind="stable")[:HARD].tolist()]
+    return [] if hard else [negative[k] for k in np.argsort(-machine.margins(negative), kind="stable")[:HARD].tolist()]
 
 
 def learn(rows: list[tuple[str | None, int]]) -> KernelMachine:
     """The machine for labelled texts (text, 1 if toxic)."""
     machine = KernelMachine()
-    whole = [(set().union(*map(segments_of, own)), y, x) for (x, y), own in zip(rows, fresh_sentences([x for x, _ in rows]), strict=True) if own]
+    known: dict[str, tuple[int, ...]] = {}
+    whole = [(set().union(*(segments_of(s, known) for s in own)), y, x) for (x, y), own in zip(rows, fresh_sentences([x for x, _ in rows]), strict=True) if own]
     taught, rest = [x for k, x in enumerate(whole) if k % 4], [x for k, x in enumerate(whole) if not k % 4]
-    hard = _teach(machine, taught, None)
+    sides = _sides(taught)
+    hard = _teach(machine, sides, None)
     if not machine.landmarks:
         return machine
-    _teach(machine, taught, hard)
+    _teach(machine, sides, hard)
     judged = rest if min(Counter(y for _, y, _ in rest).values(), default=0) >= 20 else whole
     evidence = np.concatenate([machine.evidence(pa.array([x for _, _, x in judged[i : i + 500]], pa.string())) for i in range(0, len(judged), 500)])
     machine.calibrate(evidence, np.array([y for _, y, _ in judged], float))
     if judged is rest:
-        _teach(machine, whole, hard)
+        _teach(machine, _sides(whole), hard)
     machine._memo = None
     release()
     return machine
