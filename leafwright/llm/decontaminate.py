@@ -1,17 +1,21 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The index is cut by documents: each row is a segment of some megabytes of text with the
-sorted terms of its documents and, for each term, the sorted positions at which it
-stands. Segments can be stored as they are (Parquet) and searched again.
-
-A phrase is answered within each segment: its terms' lists are looked up; if any is
-empty the phrase is done; otherwise the shortest list, shifted by its term's place in
+The index is cut by documents: each row is a segment, about half a megabyte of text, with
+the sorted terms of its documents and, for each term, the sorted positions at which it
+stands. It is stored in the shared folder and can be searched again; every later step
+reads postings, not texts.
+
+How often each term stands in the whole index is counted over the stored lists, and each
+phrase is filed under its rarest term; a phrase with a term that stands nowhere is done.
+Within a segment only the phrases filed under a term of that segment are asked, so its work
+follows its own terms and not the number of phrases. Such a phrase's lists are looked up;
+if any is empty it is done; otherwise the shortest list, shifted by its term's place in
 the phrase, gives the candidate starts, which are intersected with the other lists,
-shifted likewise, from rare to frequent. Nothing is shuffled, and one very frequent term
+shifted likewise, from rare to frequent. No posting is shuffled, and one very frequent term
 costs no more than its own lists, which rarer terms cut first.
 
 Phrases are not broadcast: they are written to the shared folder in blocks of bounded
-size, and each task reads one block at a time.
+size, and each task reads a block once for all segments of a batch.
 
 Words: A-Z in lower case, then runs of ASCII letters, digits and anything beyond ASCII.
 Null and empty texts have no words and no hits. Items without words or id are not
@@ -33,13 +37,15 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import ALNUM_SPLIT, mapped, pieces, read_table, scan_words, shared_dir
+from leafwright.llm.common import ALNUM_SPLIT, flat, mapped, pieces, read_table, scan_words, shared_dir
 
 WINDOW = 8
 #: An item counts towards contamination from this many items on.
 MIN_ITEMS = 2
 #: Phrases in a block of the query set.
 BLOCK_PHRASES = 100_000
+#: Segments in a row group of the stored index, which a reader holds at a time.
+GROUP_SEGMENTS = 16
 #: Candidate starts that are intersected at a time.
 CANDIDATES = 1 << 20
 
@@ -65,6 +71,29 @@ def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return mapped(given, run, SEGMENT)
 
 
+def stored_index(index: DataFrame) -> DataFrame:
+    """The same segments, written to the shared folder and read back from there."""
+    spark = index.sparkSession
+    folder = f"{shared_dir(spark)}/postings/{uuid.uuid4().hex}"
+    index.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").option("parquet.block.row.count.limit", GROUP_SEGMENTS).parquet(folder)
+    return spark.read.schema(index.schema).parquet(folder)
+
+
+def term_counts(index: DataFrame) -> DataFrame:
+    """(term, n): how often each term stands in the whole index; a batch is summed before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, counts = (np.frombuffer(b"".join(c.to_pylist()), kind) for c, kind in zip(batch.columns, ("<u8", "<u4"), strict=True))
+            order = np.argsort(terms, kind="stable")
+            ranked = terms[order]
+            edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+            n = np.add.reduceat(counts[order].astype(np.int64), edges) if len(ranked) else np.zeros(0, np.int64)
+            yield pa.record_batch([pa.array(ranked[edges].view(np.int64)), pa.array(n)], names=["term", "n"])
+
+    return mapped(index.select("terms", "counts"), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class Segment:
     """A segment in memory; ``listed`` holds every posting as term rank and position, in order."""
@@ -130,15 +159,17 @@ class Segment:
                 phrase, start = phrase[keep], start[keep]
             yield alive[phrase], start
 
-    def near(self, terms: np.ndarray, length: np.ndarray, slack: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(phrase, position of its rarest term) where every term stands within ``slack`` words of it in the same document."""
+    def near(self, terms: np.ndarray, length: np.ndarray, lead: np.ndarray, slack: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(phrase, position of its leading term) where every term stands within ``slack`` words of it in the same document."""
         rank, counts = self.ranks(terms)
         inside = np.arange(terms.shape[1])[None, :] < length[:, None]
         alive = np.flatnonzero(((counts > 0) | ~inside).all(1))
-        rank, counts, size = rank[alive], np.where(inside, counts, 1 << 40)[alive], length[alive]
-        order = np.argsort(counts, axis=1, kind="stable")
+        rank, counts, size, lead = rank[alive], np.where(inside, counts, 1 << 40)[alive], length[alive], lead[alive]
         pick = np.arange(len(alive))
-        for phrase, position in self.candidates(rank[pick, order[:, 0]], counts[pick, order[:, 0]]):
+        listed = counts[pick, lead]
+        counts[pick, lead] = 0
+        order = np.argsort(counts, axis=1, kind="stable")
+        for phrase, position in self.candidates(rank[pick, lead], listed):
             for step in range(1, terms.shape[1]):
                 place = order[phrase, step]
                 doc = self.doc_of(position)
@@ -155,32 +186,61 @@ def phrases_of(items: DataFrame, text: str = "text", key: str = "item_id", windo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = scan_words(batch.column(1), ALNUM_SPLIT, lower=True)
+            values = words.hash.view(np.int64).tolist()
             out = set()
             for k, item in enumerate(batch.column(0).to_pylist()):
-                own = words.hash[words.first[k] : words.first[k + 1]]
-                for at in range(max(1, len(own) - window + 1) if len(own) else 0):
-                    cut = own[at : at + window]
-                    out.add((item, len(cut), np.pad(cut, (0, window - len(cut))).astype("<u8").tobytes()))
+                own = values[words.first[k] : words.first[k + 1]]
+                out.update((item, tuple(own[at : at + window])) for at in range(max(1, len(own) - window + 1) if own else 0))
             rows = sorted(out)
-            yield pa.record_batch([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.int32()), pa.array([x[2] for x in rows], pa.binary())], names=["item", "length", "terms"])
+            yield pa.record_batch([pa.array([x[0] for x in rows], pa.string()), pa.array([len(x[1]) for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.list_(pa.int64()))], names=["item", "length", "terms"])
 
     given = items.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return mapped(given, run, "item string, length int, terms binary").distinct()
+    return mapped(given, run, "item string, length int, terms array<long>").distinct()
+
+
+def led_by_rarest(phrases: DataFrame, index: DataFrame) -> DataFrame:
+    """Phrases all of whose terms stand in the index, with ``lead``: the place of the term that is rarest in all of it, the first of ties."""
+    each = phrases.select("item", "length", "terms", F.posexplode("terms").alias("place", "term"))
+    met = each.join(term_counts(index), "term").groupBy("item", "length", "terms").agg(F.min(F.struct("n", "place")).alias("rarest"), F.count(F.lit(1)).alias("met"))
+    return met.where(F.col("met") == F.col("length")).select("item", "length", "terms", F.col("rarest.place").alias("lead"))
 
 
 def stored_phrases(phrases: DataFrame) -> str:
-    """Writes the phrases in blocks to the shared folder; returns the folder."""
+    """Writes the phrases in blocks to the shared folder; returns the folder. Without ``lead`` a phrase is filed under its first term."""
     folder = f"{shared_dir(phrases.sparkSession)}/phrases/{uuid.uuid4().hex}"
-    phrases.write.option("maxRecordsPerFile", BLOCK_PHRASES).parquet(folder)
+    led = phrases if "lead" in phrases.columns else phrases.withColumn("lead", F.lit(0))
+    led.write.option("maxRecordsPerFile", BLOCK_PHRASES).parquet(folder)
     return folder
 
 
+@dataclass
+class Block:
+    """Phrases in the order of their leading terms: items, true lengths, terms padded to the right, places and values of the leading terms."""
+
+    items: list[str]
+    length: np.ndarray
+    terms: np.ndarray
+    lead: np.ndarray
+    leading: np.ndarray
+
+    def asked(self, terms: np.ndarray) -> np.ndarray:
+        """Phrases whose leading term is one of the terms given."""
+        lo, hi = np.searchsorted(self.leading, terms, "left"), np.searchsorted(self.leading, terms, "right")
+        n = hi - lo
+        return np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 @lru_cache(maxsize=4)
-def _block(folder: str, path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _block(folder: str, path: str) -> Block:
     store, _ = pafs.FileSystem.from_uri(folder)
     rows = pq.read_table(path, filesystem=store)
-    terms = np.frombuffer(b"".join(rows["terms"].to_pylist()), "<u8").reshape(rows.num_rows, -1 if rows.num_rows else WINDOW)
-    return rows["item"].to_pylist(), np.asarray(rows["length"], np.int64), terms
+    length, lead = np.asarray(rows["length"], np.int64), np.asarray(rows["lead"], np.int64)
+    terms = np.zeros((len(length), int(length.max(initial=1))), np.uint64)
+    terms[np.arange(terms.shape[1]) < length[:, None]] = np.asarray(flat(rows["terms"]).flatten()).view(np.uint64)
+    leading = terms[np.arange(len(length)), lead]
+    order = np.argsort(leading, kind="stable")
+    items = rows["item"].to_pylist()
+    return Block([items[k] for k in order.tolist()], length[order], terms[order], lead[order], leading[order])
 
 
 @lru_cache(maxsize=4)
@@ -189,29 +249,39 @@ def _blocks(folder: str) -> list[str]:
     return sorted(x.path for x in store.get_file_info(pafs.FileSelector(root)) if x.path.endswith(".parquet"))
 
 
+def _segments(batch: pa.RecordBatch) -> list[Segment]:
+    return [Segment.read(*row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+
+
+def _note(found: list[set], doc: np.ndarray, phrase: np.ndarray, items: list[str]) -> None:
+    for d, p in np.unique(np.stack([doc, phrase]), axis=1).T.tolist():
+        found[d].add(items[p])
+
+
+def _listed(found: list[set]) -> pa.Array:
+    return pa.array([sorted(x) for x in found], pa.list_(pa.string()))
+
+
 def search(index: DataFrame, phrases: str) -> DataFrame:
     """(doc_id, n_words, n_hit, items) of every document: words inside an occurrence, and the items that occur, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                segment = Segment.read(*row)
-                n = int(segment.first[-1])
-                edge = np.zeros(n + 1, np.int64)
-                found: list[set] = [set() for _ in segment.keys]
-                for path in _blocks(phrases) if n else ():
-                    item, length, terms = _block(phrases, path)
-                    if not len(item):
-                        continue
-                    for phrase, start in segment.phrases(terms, length):
+            segments = _segments(batch)
+            edges = [np.zeros(int(x.first[-1]) + 1, np.int64) for x in segments]
+            found = [[set() for _ in x.keys] for x in segments]
+            for path in _blocks(phrases):
+                block = _block(phrases, path)
+                for segment, edge, items in zip(segments, edges, found, strict=True):
+                    own = block.asked(segment.terms)
+                    for phrase, start in segment.phrases(block.terms[own], block.length[own]) if len(own) else ():
                         np.add.at(edge, start, 1)
-                        np.add.at(edge, start + length[phrase], -1)
-                        doc = segment.doc_of(start)
-                        for d, p in np.unique(np.stack([doc, phrase]), axis=1).T.tolist():
-                            found[d].add(item[p])
+                        np.add.at(edge, start + block.length[own[phrase]], -1)
+                        _note(items, segment.doc_of(start), own[phrase], block.items)
+            for segment, edge, items in zip(segments, edges, found, strict=True):
                 hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
                 yield pa.record_batch(
-                    [pa.array(segment.keys, pa.int64()), pa.array(np.diff(segment.first)), pa.array(np.diff(hit[segment.first]).astype(np.int64)), pa.array([sorted(x) for x in found], pa.list_(pa.string()))],
+                    [pa.array(segment.keys, pa.int64()), pa.array(np.diff(segment.first)), pa.array(np.diff(hit[segment.first]).astype(np.int64)), _listed(items)],
                     names=["doc_id", "n_words", "n_hit", "items"],
                 )
 
@@ -219,26 +289,33 @@ def search(index: DataFrame, phrases: str) -> DataFrame:
 
 
 def search_near(index: DataFrame, phrases: str, slack: int = 2 * WINDOW) -> DataFrame:
-    """(doc_id, items): items of which a window's words all stand within ``slack`` words of its rarest, in any order."""
+    """(doc_id, items): items of which a window's words all stand within ``slack`` words of its leading one, in any order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                segment = Segment.read(*row)
-                found: list[set] = [set() for _ in segment.keys]
-                for path in _blocks(phrases) if segment.first[-1] else ():
-                    item, length, terms = _block(phrases, path)
-                    for phrase, position in segment.near(terms, length, slack) if len(item) else ():
-                        for d, p in np.unique(np.stack([segment.doc_of(position), phrase]), axis=1).T.tolist():
-                            found[d].add(item[p])
-                yield pa.record_batch([pa.array(segment.keys, pa.int64()), pa.array([sorted(x) for x in found], pa.list_(pa.string()))], names=["doc_id", "items"])
+            segments = _segments(batch)
+            found = [[set() for _ in x.keys] for x in segments]
+            for path in _blocks(phrases):
+                block = _block(phrases, path)
+                for segment, items in zip(segments, found, strict=True):
+                    own = block.asked(segment.terms)
+                    for phrase, position in segment.near(block.terms[own], block.length[own], block.lead[own], slack) if len(own) else ():
+                        _note(items, segment.doc_of(position), own[phrase], block.items)
+            for segment, items in zip(segments, found, strict=True):
+                yield pa.record_batch([pa.array(segment.keys, pa.int64()), _listed(items)], names=["doc_id", "items"])
 
     return mapped(index, run, "doc_id long, items array<string>")
 
 
+def occurrences(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``search`` over a stored index of the documents, phrases filed under their rarest terms."""
+    index = stored_index(build_index(docs))
+    return search(index, stored_phrases(led_by_rarest(phrases, index)))
+
+
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: words, hit words, items that occur and whether they are enough to call it contaminated."""
-    found = search(build_index(docs), stored_phrases(phrases_of(items)))
+    found = occurrences(docs, phrases_of(items))
     n = F.size("items").cast("long")
     return found.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= MIN_ITEMS).alias("contaminated"))
 

@@ -1,6 +1,7 @@
 """Each operator against its rule as written, over texts that are null, empty, odd, long, equal and nearly equal."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -373,3 +374,30 @@ def test_odd_columns_and_ids(spark, odd_docs):
     files = token_files.write_files(token_files.encode_documents(token_files.in_key_order(odd_docs)), folder)
     found = token_files.read_digests(spark, files, folder).collect()
     assert len(found) == n and sum(x["doc_id"] is None for x in found) == 1
+
+
+def test_decontaminate_asks_phrases_under_their_rarest_term(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_PHRASES", 3)
+    words = rows[16][1].split()
+    items = [(1, " ".join(words[100:130])), (2, "one"), (3, rows[12][1]), (4, " ".join(words[40:47])), (5, "gamma gamma nowhere to be found at all here")]
+    index = decontaminate.stored_index(decontaminate.build_index(docs))
+    counts = dict(decontaminate.term_counts(index).collect())
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[1] or "")) for r in rows]
+    assert sum(counts.values()) == sum(map(len, split)) and len(counts) == len({w for x in split for w in x})
+    phrases = decontaminate.phrases_of(spark.createDataFrame(items, "item_id long, text string"))
+    led = decontaminate.led_by_rarest(phrases, index)
+    for x in led.collect():
+        n = [counts[t] for t in x["terms"]]
+        assert x["lead"] == n.index(min(n))
+    assert "5" not in {x["item"] for x in led.collect()}
+    found = {x["doc_id"]: x["items"] for x in decontaminate.search(index, decontaminate.stored_phrases(led)).collect()}
+    wanted = {x[0]: x[3] for x in decontaminate.brute_force([r[:2] for r in rows], items)}
+    assert {k: len(v) for k, v in found.items()} == wanted and any(wanted.values())
+
+
+def test_decontaminate_odd_columns_and_ids(spark, odd_docs, rows):
+    items = spark.createDataFrame([(1, rows[5][1]), (1, rows[5][1]), (None, rows[6][1])], "item_id long, text string").selectExpr("*", "1 AS terms", "2 AS lead", "3 AS item")
+    found = decontaminate.report(odd_docs, items).collect()
+    assert len(found) == odd_docs.count() and sum(x["doc_id"] is None for x in found) == 1
+    hit = [x for x in found if x["doc_id"] == 5]
+    assert len(hit) == 3 and all(x["n_hit"] == x["n_words"] and x["n_items"] == 1 for x in hit)
