@@ -25,7 +25,9 @@ searched; rows that share an item id are one item. A document is a row.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -46,6 +48,8 @@ MIN_ITEMS = 2
 BLOCK_PHRASES = 100_000
 #: Segments in a row group of the stored index, which a reader holds at a time.
 GROUP_SEGMENTS = 16
+#: How many words a proximity match may lie to either side of its phrase's leading word.
+SLACK = 2 * WINDOW
 #: Candidate starts that are intersected at a time.
 CANDIDATES = 1 << 20
 
@@ -262,33 +266,38 @@ def _listed(found: list[set]) -> pa.Array:
     return pa.array([sorted(x) for x in found], pa.list_(pa.string()))
 
 
-def search(index: DataFrame, phrases: str) -> DataFrame:
-    """(doc_id, n_words, n_hit, items) of every document: words inside an occurrence, and the items that occur, sorted."""
+def search(index: DataFrame, phrases: str, slack: int | None = None) -> DataFrame:
+    """(doc_id, n_words, n_hit, items, near) of every document: words inside an occurrence, and the items that occur, sorted.
+
+    With ``slack``, near lists the items that ``search_near`` finds; without, it is empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             segments = _segments(batch)
             edges = [np.zeros(int(x.first[-1]) + 1, np.int64) for x in segments]
-            found = [[set() for _ in x.keys] for x in segments]
+            found, close = ([[set() for _ in x.keys] for x in segments] for _ in range(2))
             for path in _blocks(phrases):
                 block = _block(phrases, path)
-                for segment, edge, items in zip(segments, edges, found, strict=True):
+                for segment, edge, items, near in zip(segments, edges, found, close, strict=True):
                     own = block.asked(segment.terms)
                     for phrase, start in segment.phrases(block.terms[own], block.length[own]) if len(own) else ():
                         np.add.at(edge, start, 1)
                         np.add.at(edge, start + block.length[own[phrase]], -1)
                         _note(items, segment.doc_of(start), own[phrase], block.items)
-            for segment, edge, items in zip(segments, edges, found, strict=True):
+                    for phrase, position in segment.near(block.terms[own], block.length[own], block.lead[own], slack) if len(own) and slack is not None else ():
+                        _note(near, segment.doc_of(position), own[phrase], block.items)
+            for segment, edge, items, near in zip(segments, edges, found, close, strict=True):
                 hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
                 yield pa.record_batch(
-                    [pa.array(segment.keys, pa.int64()), pa.array(np.diff(segment.first)), pa.array(np.diff(hit[segment.first]).astype(np.int64)), _listed(items)],
-                    names=["doc_id", "n_words", "n_hit", "items"],
+                    [pa.array(segment.keys, pa.int64()), pa.array(np.diff(segment.first)), pa.array(np.diff(hit[segment.first]).astype(np.int64)), _listed(items), _listed(near)],
+                    names=["doc_id", "n_words", "n_hit", "items", "near"],
                 )
 
-    return mapped(index, run, "doc_id long, n_words long, n_hit long, items array<string>")
+    return mapped(index, run, "doc_id long, n_words long, n_hit long, items array<string>, near array<string>")
 
 
-def search_near(index: DataFrame, phrases: str, slack: int = 2 * WINDOW) -> DataFrame:
+def search_near(index: DataFrame, phrases: str, slack: int = SLACK) -> DataFrame:
     """(doc_id, items): items of which a window's words all stand within ``slack`` words of its leading one, in any order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,36 +316,57 @@ def search_near(index: DataFrame, phrases: str, slack: int = 2 * WINDOW) -> Data
     return mapped(index, run, "doc_id long, items array<string>")
 
 
-def occurrences(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, phrases: DataFrame, slack: int | None = None) -> DataFrame:
     """``search`` over a stored index of the documents, phrases filed under their rarest terms."""
     index = stored_index(build_index(docs))
-    return search(index, stored_phrases(led_by_rarest(phrases, index)))
+    return search(index, stored_phrases(led_by_rarest(phrases, index)), slack)
+
 
+def report(docs: DataFrame, items: DataFrame, slack: int | None = None) -> DataFrame:
+    """Per document: words, hit words, items that occur and whether they are enough to call it contaminated.
 
-def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Per document: words, hit words, items that occur and whether they are enough to call it contaminated."""
-    found = occurrences(docs, phrases_of(items))
+    With ``slack`` also n_near: items with a window of which all words stand within that many words of its rarest
+    (in all documents; the first of ties), in any order.
+    """
+    found = occurrences(docs, phrases_of(items), slack)
     n = F.size("items").cast("long")
-    return found.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= MIN_ITEMS).alias("contaminated"))
+    near = [] if slack is None else [F.size("near").cast("long").alias("n_near")]
+    return found.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= MIN_ITEMS).alias("contaminated"), *near)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), SLACK)
+
+
+def _split(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({k: k + 32 for k in range(65, 91)}))
+
+
+def brute_near(docs: list[tuple], items: list[tuple], slack: int) -> list[int]:
+    """n_near of each document by the rule as it is written, for tests."""
+    split = [_split(text) for _, text in docs]
+    often = Counter(w for own in split for w in own)
+    windows = {(str(k), tuple(w[i : i + WINDOW])) for k, x in items if (w := _split(x)) and k is not None for i in range(max(1, len(w) - WINDOW + 1))}
+    out = []
+    for own in split:
+        seen = set()
+        for item, phrase in windows:
+            lead = min(phrase, key=lambda w: often[w])
+            if any(w == lead and set(phrase) <= set(own[max(0, at - slack) : at + slack + 1]) for at, w in enumerate(own)):
+                seen.add(item)
+        out.append(len(seen))
+    return out
 
 
 def brute_force(docs: list[tuple], items: list[tuple]) -> list[tuple]:
     """The report by the rule as it is written, for tests."""
-    import re
-
-    lower = {k: k + 32 for k in range(65, 91)}
-    words = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (x or "").translate(lower))
-    windows = {(k, tuple(w[i : i + WINDOW])) for k, x in items if (w := words(x)) and k is not None for i in range(max(1, len(w) - WINDOW + 1))}
+    windows = {(k, tuple(w[i : i + WINDOW])) for k, x in items if (w := _split(x)) and k is not None for i in range(max(1, len(w) - WINDOW + 1))}
     by_first: dict = {}
     for k, w in windows:
         by_first.setdefault(w[0], []).append((str(k), w))
     out = []
     for key, text in docs:
-        w = words(text)
+        w = _split(text)
         hit, seen = set(), set()
         for at, word in enumerate(w):
             for item, phrase in by_first.get(word, ()):
@@ -358,9 +388,15 @@ sizes AS (SELECT DISTINCT n FROM q),
 pos AS (SELECT doc_id, s.n AS n, i, array_to_string(w[i:i + s.n - 1], ' ') AS phrase FROM d, sizes s, unnest(range(1, len(w) - s.n + 2)) AS t(i)),
 occ AS (SELECT a.doc_id, q.item_id, a.i, a.n FROM pos a JOIN q ON a.n = q.n AND a.phrase = q.phrase),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM occ, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY doc_id)
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY doc_id),
+often AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY word),
+leads AS (SELECT item_id, phrase, word FROM (SELECT item_id, phrase, p.word AS word, row_number() OVER (PARTITION BY item_id, phrase ORDER BY o.n, p.place) AS k
+  FROM q, unnest(list_zip(string_split(phrase, ' '), range(len(string_split(phrase, ' '))))) AS t(z), (SELECT z[1] AS word, z[2] AS place) AS p JOIN often o ON o.word = p.word) WHERE k = 1),
+spots AS (SELECT doc_id, w[i] AS word, i FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+near AS (SELECT s.doc_id, count(DISTINCT l.item_id::VARCHAR) AS n_near FROM leads l JOIN spots s ON s.word = l.word JOIN d ON d.doc_id = s.doc_id
+  WHERE list_has_all(d.w[greatest(1, s.i - 16):s.i + 16], string_split(l.phrase, ' ')) GROUP BY s.doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(i.listed, '')) AS items_sha256, coalesce(i.n_items, 0) >= 2 AS contaminated
-FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+  sha256(coalesce(i.listed, '')) AS items_sha256, coalesce(i.n_items, 0) >= 2 AS contaminated, coalesce(r.n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id LEFT JOIN near r ON d.doc_id = r.doc_id
 """,
 }

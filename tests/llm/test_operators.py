@@ -401,3 +401,12 @@ def test_decontaminate_odd_columns_and_ids(spark, odd_docs, rows):
     assert len(found) == odd_docs.count() and sum(x["doc_id"] is None for x in found) == 1
     hit = [x for x in found if x["doc_id"] == 5]
     assert len(hit) == 3 and all(x["n_hit"] == x["n_words"] and x["n_items"] == 1 for x in hit)
+
+
+def test_decontaminate_counts_near_items(spark, docs, rows):
+    words = rows[16][1].split()
+    mixed = words[200:203] + words[205:208] + words[203:205]
+    items = [(1, " ".join(mixed)), (2, "words that do not occur"), (3, rows[12][1]), (4, " ".join(words[300:303] + words[900:905])), (5, "one"), (None, "one"), (6, None)]
+    found = by_id(decontaminate.report(docs, spark.createDataFrame(items, "item_id long, text string"), 10))
+    wanted = decontaminate.brute_near([r[:2] for r in rows], items, 10)
+    assert [found[r[0]][-1] for r in rows] == wanted and found[4][-1] == 1 and wanted[16]
