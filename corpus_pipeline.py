@@ -53,8 +53,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     of fewer words don't count here, as a few words that a text shares with one are no copy of it.
     """
     phrases = decontaminate.phrases_of(read_table(spark, sf_dir, "benchmark")).where(F.col("length") == decontaminate.WINDOW)
-    found = decontaminate.search(decontaminate.build_index(docs), decontaminate.stored_phrases(phrases))
-    gone = found.where("n_hit > 0").select("doc_id").distinct()
+    gone = decontaminate.occurrences(docs, phrases).where("n_hit > 0").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
