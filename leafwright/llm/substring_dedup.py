@@ -15,7 +15,7 @@ its windows cover, and the place. A window without such a symbol is its own symb
 
 Then, in Spark: names that stand once are dropped; rows of equal name and words keep
 their first place and lose the others; only where one name stands among different words
-are its windows compared one by one, by 128-bit hashes. Copies fold into one row for
+are its windows compared one by one, by two 64-bit hashes. Copies fold into one row for
 each task before any shuffle, and texts are dealt out once, by document.
 
 Null and empty texts have no words. A document of fewer words than a window loses none.
