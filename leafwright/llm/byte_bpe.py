@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import mapped, pieces, read_table
+from leafwright.llm.common import mapped, pieces, read_table, resident
 from leafwright.llm.pretokens import PieceMemo, scan
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -144,7 +143,7 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines.splitlines())}
 
 
-@lru_cache(maxsize=2)
+@resident(maxsize=2)
 def load(path: str) -> ByteBpe:
     """A worker's own encoder; vocabulary files are installed with the tokenizer package on every machine."""
     with open(path, "rb") as file:
@@ -180,9 +179,24 @@ def decode_documents(encoded: DataFrame, key: str = "doc_id", ranks: str = DEFAU
     return mapped(given, run, "key long, ids binary, decoded binary").withColumnRenamed("key", key)
 
 
+def round_trips(docs: DataFrame, text: str = "text", key: str = "doc_id", ranks: str = DEFAULT_RANKS) -> DataFrame:
+    """(key, ids, decoded): encode_documents() and decode_documents() in one pass, by one worker with one encoder a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(ranks)
+        for batch in batches:
+            for part in pieces(batch):
+                ids = bpe.encode_all(part.column(1).to_pylist())
+                decoded = [bpe.decode(x) for x in ids]
+                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], names=["key", "ids", "decoded"])
+
+    given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    return mapped(given, run, "key long, ids binary, decoded binary").withColumnRenamed("key", key)
+
+
 def digests(docs: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids, and of the bytes they decode to."""
-    decoded = decode_documents(encode_documents(docs, ranks=ranks), ranks=ranks)
+    decoded = round_trips(docs, ranks=ranks)
     return decoded.select(
         "doc_id",
         F.expr("CAST(length(ids) / 4 AS BIGINT)").alias("n_tokens"),

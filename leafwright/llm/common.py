@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,32 @@ def release() -> None:
         trim(0)
 
 
+_resident: dict[str, list] = {}
+
+
+def resident(maxsize: int) -> Callable:
+    """lru_cache for what a worker keeps between the tasks of one operator, by the module that defines it."""
+
+    def wrap(make: Callable) -> Callable:
+        cached = lru_cache(maxsize=maxsize)(make)
+        _resident.setdefault(make.__module__, []).append(cached)
+        return cached
+
+    return wrap
+
+
+def keep_only(module: str) -> None:
+    """Drops what other modules' operators keep here: Spark's workers outlive a stage, and would carry the models of all."""
+    for owner, found in _resident.items():
+        if owner != module:
+            for cached in found:
+                cached.cache_clear()
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """df.mapInArrow over batches of bounded size, by workers that give memory back after each."""
+    """df.mapInArrow over batches of bounded size, by workers that give memory back after each and hold no other operator's models."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    module = run.__module__
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,7 +71,12 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             del batch
             release()
 
-    return df.mapInArrow(lambda batches: run(settled(batches)), schema)
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(module)
+        release()
+        return run(settled(batches))
+
+    return df.mapInArrow(alone, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:

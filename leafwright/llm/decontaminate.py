@@ -30,7 +30,6 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.common import ALNUM_SPLIT, flat, mapped, pieces, read_table, scan_words, shared_dir
+from leafwright.llm.common import ALNUM_SPLIT, flat, mapped, pieces, read_table, resident, scan_words, shared_dir
 
 WINDOW = 8
 #: An item counts towards contamination from this many items on.
@@ -234,7 +233,7 @@ class Block:
         return np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-@lru_cache(maxsize=4)
+@resident(maxsize=4)
 def _block(folder: str, path: str) -> Block:
     store, _ = pafs.FileSystem.from_uri(folder)
     rows = pq.read_table(path, filesystem=store)
@@ -247,7 +246,7 @@ def _block(folder: str, path: str) -> Block:
     return Block([items[k] for k in order.tolist()], length[order], terms[order], lead[order], leading[order])
 
 
-@lru_cache(maxsize=4)
+@resident(maxsize=4)
 def _blocks(folder: str) -> list[str]:
     store, root = pafs.FileSystem.from_uri(folder)
     return sorted(x.path for x in store.get_file_info(pafs.FileSelector(root)) if x.path.endswith(".parquet"))

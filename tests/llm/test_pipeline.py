@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from leafwright.llm import byte_bpe, decontaminate, minhash_dedup, quality
+from leafwright.llm import byte_bpe, common, decontaminate, minhash_dedup, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +87,28 @@ def test_quality_stage_reads_a_table_without_labels(spark, docs, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: spark.createDataFrame([], "doc_id long, quality int"))
     kept = corpus_pipeline.quality_stage(spark, docs, SF)
     assert kept.schema == docs.schema and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_a_worker_holds_the_models_of_one_operator(monkeypatch, docs):
+    """Spark's workers outlive a stage; the models of all stages at once count as memory of the executor."""
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: tasks.append(f) or docs)
+    byte_bpe.encode_documents(docs)
+    minhash_dedup.signatures(docs)
+    same, other = tasks
+    byte_bpe.load(byte_bpe.DEFAULT_RANKS)
+    list(same(iter([])))
+    assert byte_bpe.load.cache_info().currsize == 1
+    list(other(iter([])))
+    assert byte_bpe.load.cache_info().currsize == 0
+    assert common._resident.keys() >= {byte_bpe.__name__, decontaminate.__name__}
+
+
+def test_token_stage_has_one_worker_a_task(spark, docs, rows):
+    found = corpus_pipeline.token_stage(spark, docs, SF)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow ") == 1
+    bpe = byte_bpe.load(byte_bpe.DEFAULT_RANKS)
+    apart = byte_bpe.decode_documents(byte_bpe.encode_documents(docs))
+    want = {r["doc_id"]: (r["ids"], r["decoded"]) for r in apart.collect()}
+    assert {r["doc_id"]: (r["ids"], r["decoded"]) for r in byte_bpe.round_trips(docs).collect()} == want
+    assert want == {k: (bpe.encode(x or ""), (x or "").encode()) for k, x, *_ in rows}
