@@ -10,11 +10,17 @@ from leafwright.functions.vocabulary import BACK_TYPES, CERTAINTY
 from leafwright.operators.text import chunks, normalised, sentence_spans_column, span_text, xml_escaped
 
 
+def code_point(n: Column) -> Column:
+    """The character of a code point; Spark's char() knows 256 and begins anew."""
+    # The mark in front keeps the reader from taking the character itself, U+FEFF, for one.
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(n), 8, "0"))), "UTF-32")
+
+
 def collision_suffix(rows: DataFrame, label: str, *order: str) -> DataFrame:
-    """Appends a, b, ... to labels that several rows share, in a fixed order."""
+    """Appends a, b, ..., z and the code points after it to labels that several rows share, in a fixed order."""
     same = W.partitionBy(label)
     n, k = F.count(F.lit(1)).over(same), F.row_number().over(same.orderBy(*order))
-    return rows.withColumn("_n", n).withColumn("_k", k).withColumn(label, F.when(F.col("_n") > 1, F.concat(label, F.char(F.lit(96) + F.col("_k")))).otherwise(F.col(label))).drop("_n", "_k")
+    return rows.withColumn("_n", n).withColumn("_k", k).withColumn(label, F.when(F.col("_n") > 1, F.concat(label, code_point(F.lit(96) + F.col("_k")))).otherwise(F.col(label))).drop("_n", "_k")
 
 
 def library(articles: DataFrame, records: DataFrame) -> DataFrame:

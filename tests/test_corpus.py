@@ -120,6 +120,14 @@ def test_report_texts(spark):
     assert tuple(row) == ("a, b, c et al.", "raw", ", ", "–")
 
 
+def test_labels_of_many_collisions(spark):
+    n = 700
+    rows = spark.range(1, n + 1).select("id", F.lit("Ito 2021").alias("label"))
+    found = [r["label"] for r in views.collision_suffix(rows, "label", "id").orderBy("id").collect()]
+    assert found == [f"Ito 2021{chr(96 + k)}" for k in range(1, n + 1)]
+    assert [r[0] for r in spark.createDataFrame([(c,) for c in (97, 0xFEFF, 0x10FFFF)], "c int").select(views.code_point(F.col("c"))).collect()] == ["a", "\ufeff", "\U0010ffff"]
+
+
 def test_speech(spark):
     rows = spark.createDataFrame([("a", "p1", 0, "One here. " + "word " * 80 + "end.")], "article_id string, paragraph_id string, ord int, text string")
     parts = views.speech_units(rows).first()["parts"]
