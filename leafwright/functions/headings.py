@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ _COMPILED = [(re.compile(p), kind, strong) for p, kind, strong in title_patterns
 _NUMBER = re.compile(TITLE_NUMBER)
 
 
+@lru_cache(maxsize=4096)
 def section_type(title: str | None, sec_type: str | None, level: int, parent: str | None) -> str:
     """@sec-type first, then the title's first rule, then the parent's type below level 1."""
     if sec_type and (known := SEC_TYPES.get(sec_type.strip().lower())):
