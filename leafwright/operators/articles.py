@@ -31,48 +31,58 @@ SCHEMA = (
     f"references array<{REFERENCE}>, warnings array<string>, flavor string, error string"
 )
 
+# Articles that go to Spark in one Arrow batch.
+BATCH = 64
 
-def parsed(files: DataFrame) -> DataFrame:
+
+def parsed(files: DataFrame, *columns: str) -> DataFrame:
     """One row a file with (path, text, sha256[, error]); files that can't be read or parsed keep a row with the error.
 
-    Filters on path and hash belong below this: the parser is opaque to the optimiser.
+    If columns are named, only those, the article's id and the error are given. Filters on path and hash belong below this: the parser is opaque to the optimiser.
     """
-    schema = to_arrow_schema(StructType.fromDDL(SCHEMA))
+    fields = [f for f in StructType.fromDDL(SCHEMA) if not columns or f.name in (*columns, "article_id", "error")]
+    schema, names = to_arrow_schema(StructType(fields)), tuple(f.name for f in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from leafwright.sources.jats import parse_article
 
+        def article(row: dict) -> dict:
+            out = {"path": row["path"], "sha256": row["sha256"], "error": row["error"]}
+            if row["error"] is None:
+                try:
+                    out |= parse_article(row["text"], row["path"].rsplit("/", 1)[-1].rsplit(".", 1)[0], names)
+                except (ValueError, RecursionError) as e:
+                    out["error"] = str(e)
+            return out
+
         for batch in batches:
-            for row in batch.to_pylist():
-                out = {"path": row["path"], "sha256": row["sha256"], "error": row["error"]}
-                if row["error"] is None:
-                    try:
-                        out |= parse_article(row["text"], row["path"].rsplit("/", 1)[-1].rsplit(".", 1)[0])
-                    except (ValueError, RecursionError) as e:
-                        out["error"] = str(e)
-                yield pa.RecordBatch.from_pylist([out], schema=schema)
+            for at in range(0, batch.num_rows, BATCH):
+                yield pa.RecordBatch.from_pylist([article(row) for row in batch.slice(at, BATCH).to_pylist()], schema=schema)
 
     given = files.select("path", "sha256", "text", "error" if "error" in files.columns else F.lit(None).cast("string").alias("error"))
-    return given.mapInArrow(run, SCHEMA)
+    return given.mapInArrow(run, StructType(fields))
 
 
 def article_tables(parsed_articles: DataFrame) -> dict[str, DataFrame]:
-    """Flat tables keyed by article_id: articles, sections, paragraphs, sentences, figures, tables, references, authors, build_report."""
-    good = parsed_articles.where("error IS NULL")
+    """Flat tables keyed by article_id: articles, sections, paragraphs, sentences, figures, tables, references, authors, build_report.
+
+    Of rows that were parsed for some columns only, articles has those that are there, and tables without their column are left out.
+    """
+    good, there = parsed_articles.where("error IS NULL"), set(parsed_articles.columns)
     rows = lambda name: good.select("article_id", F.posexplode(name).alias("_ord", "x")).select("article_id", "x.*", *(["_ord"] if name in ("figures", "tables", "references") else []))
-    items = {k: rows(k).withColumnRenamed("_ord", "ord") for k in ("figures", "tables", "references")}
-    paragraphs = rows("paragraphs")
-    sentences = paragraphs.select("article_id", "paragraph_id", "section_type", "part", F.col("ord").alias("paragraph_ord"), "text", F.posexplode("sentences").alias("ord", "s"))
-    report = parsed_articles.select("path", "article_id", F.when(F.col("error").isNull(), "ok").otherwise("error").alias("status"), F.size("paragraphs").alias("n_paragraphs"), F.size("warnings").alias("n_warnings"), "error")
-    return {
-        "articles": good.select("article_id", "meta.*", "warnings", "flavor", "path", "sha256"),
-        "sections": rows("sections"),
-        "paragraphs": paragraphs,
-        "sentences": sentences.select("article_id", "paragraph_id", "section_type", "part", "paragraph_ord", "s.sentence_id", "ord", "s.start", "s.end", F.expr("substring(text, s.start + 1, s.end - s.start)").alias("sentence")),
-        **items,
-        "authors": good.select("article_id", F.posexplode("meta.authors").alias("ord", "a")).select("article_id", "ord", "a.*"),
-        "build_report": report,
-    }
+    found = {"articles": good.select("article_id", *[c for c in ("meta.*", "warnings", "flavor", "path", "sha256") if c.split(".")[0] in there])}
+    if "sections" in there:
+        found["sections"] = rows("sections")
+    if "paragraphs" in there:
+        found["paragraphs"] = rows("paragraphs")
+        sentences = found["paragraphs"].select("article_id", "paragraph_id", "section_type", "part", F.col("ord").alias("paragraph_ord"), "text", F.posexplode("sentences").alias("ord", "s"))
+        found["sentences"] = sentences.select("article_id", "paragraph_id", "section_type", "part", "paragraph_ord", "s.sentence_id", "ord", "s.start", "s.end", F.expr("substring(text, s.start + 1, s.end - s.start)").alias("sentence"))
+    found |= {k: rows(k).withColumnRenamed("_ord", "ord") for k in ("figures", "tables", "references") if k in there}
+    if "meta" in there:
+        found["authors"] = good.select("article_id", F.posexplode("meta.authors").alias("ord", "a")).select("article_id", "ord", "a.*")
+    if {"path", "paragraphs", "warnings"} <= there:
+        found["build_report"] = parsed_articles.select("path", "article_id", F.when(F.col("error").isNull(), "ok").otherwise("error").alias("status"), F.size("paragraphs").alias("n_paragraphs"), F.size("warnings").alias("n_warnings"), "error")
+    return found
 
 
 def resolved_authors(authors: DataFrame, affiliations: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,6 +44,20 @@ def only_new(files: DataFrame, known: DataFrame, force: bool = False) -> DataFra
     return files if force else files.join(known.select("sha256").distinct(), "sha256", "left_anti")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Rows that a plan reads several times, written once to the shared folder (spark.checkpoint.dir), from which any task reads the columns it needs.
+    A session on one machine without one uses the temp folder; a cluster without one keeps the rows by persist()."""
+    spark = rows.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            return rows.persist()
+        shared = "/tmp/leafwright-shared"
+    path = f"{shared.rstrip('/')}/articles-{uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def over_roots(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of all roots with the root they come from."""
     parts = [df.withColumn("root", F.lit(root)) for root, df in tables.items()]

@@ -7,6 +7,7 @@ from leafwright.functions.vocabulary import title_patterns
 from leafwright.operators import sections, text, views
 from leafwright.operators.articles import article_tables, parsed, resolved_authors
 from leafwright.operators.citations import first_mentions, mark_buckets, never_mentioned
+from leafwright.plans import article_queries, catalogue
 from leafwright.sources import files, jats
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
@@ -115,6 +116,48 @@ def test_title_column_is_the_parsers_rule(spark):
     assert len(title_patterns()) == 25
 
 
+def test_both_readers_give_the_same_article():
+    assert jats._read_plain(XML) is not None
+    known = jats.parse_article(XML)
+    for other in (
+        XML.replace("<article ", '<article xmlns="urn:a" '),  # a default namespace
+        XML.replace("<abstract>", '<abstract xmlns:xl="http://www.w3.org/1999/xlink">'),  # two prefixes of one namespace
+        XML.replace("<article ", "<!DOCTYPE article [<!ENTITY e 'x'>]><article "),
+    ):
+        assert jats._read_plain(other) is None and jats.parse_article(other) == known
+    assert jats.parse_article(XML.replace("xmlns:xlink", "xmlns:xl").replace("xlink:href", "xl:href"))["figures"][0]["graphics"] == []
+    deep = "<article><body><sec><title>a</title><p>b</p></sec></body><back>" + "<x>" * 2000 + "</x>" * 2000 + "</back></article>"
+    with pytest.raises(RecursionError):
+        jats.parse_article(deep)
+
+
+def test_parsed_for_some_columns(spark):
+    given = spark.createDataFrame([("a.xml", XML, "h"), ("b.xml", "<other/>", "i")], "path string, text string, sha256 string")
+    whole, some = article_tables(parsed(given)), article_tables(parsed(given, "sections", "tables"))
+    assert set(some) == {"articles", "sections", "tables"} and some["articles"].columns == ["article_id"]
+    assert all(some[k].collect() == whole[k].collect() for k in ("sections", "tables"))
+    assert [r["error"] is None for r in parsed(given, "references").orderBy("error").collect()] == [True, False]
+
+
+def test_large_tables_are_dealt_before_documents_are_made(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(article_queries, "TASK_ARTICLES", 10)
+    rows = article_queries._parsed(spark, sf, "sections")
+    n = spark.read.parquet(f"{sf}/part.parquet").count()
+    assert rows.rdd.getNumPartitions() == -(-n // 10)
+    shuffled = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "content" in line or "Repartition" in line]
+    assert "Repartition" in shuffled[-1], "documents are made above the shuffle"
+
+
+@pytest.mark.parametrize("name", ["article_floats", "article_placement", "page_neighbours", "paragraph_places", "page_speech", "shown_figures", "article_authors", "article_marks", "overviews"])
+def test_article_queries_keep_nothing_in_memory(spark, name):
+    spark.catalog.clearCache()
+    found = catalogue.queries()[name](spark, "/root/testdata/sf0.001")
+    assert found.count() > 0 and spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    stored = name not in ("article_authors", "article_marks", "overviews")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == (0 if stored else 1)
+
+
 def test_files_to_tables(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.xml").write_text("﻿  " + XML)
