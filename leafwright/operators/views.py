@@ -74,27 +74,27 @@ def paragraph_pages(page_rows: DataFrame, paragraphs: DataFrame) -> DataFrame:
     return body.select("article_id", "paragraph_id", "page").unionByName(front.select("article_id", "paragraph_id", "page"))
 
 
-def speech_units(paragraphs: DataFrame, limit: int = 240) -> DataFrame:
-    """(article_id, paragraph_id, ord, parts): sentences in order, long ones in pieces of whole words."""
+def speech_units(paragraphs: DataFrame, limit: int = 240, *more: str) -> DataFrame:
+    """(article_id, paragraph_id, ord, parts) and more columns: sentences in order, long ones in pieces of whole words."""
     spans = sentence_spans_column(F.col("text"))
     said = F.transform("spans", lambda s: span_text(F.col("text"), s["start"], s["end"]))
     source = F.when(F.size("said") > 0, F.col("said")).otherwise(F.array("text"))
-    return paragraphs.withColumn("spans", spans).withColumn("said", said).select("article_id", "paragraph_id", "ord", F.flatten(F.transform(source, lambda x: chunks(x, limit))).alias("parts"))
+    return paragraphs.withColumn("spans", spans).withColumn("said", said).select("article_id", "paragraph_id", "ord", *more, F.flatten(F.transform(source, lambda x: chunks(x, limit))).alias("parts"))
 
 
 def page_speech(page_rows: DataFrame, sections: DataFrame, paragraphs: DataFrame, limit: int = 240) -> DataFrame:
     """(article_id, page, ord, place, parts): what is read out on each page, in order: each section's title, then its paragraphs' sentences."""
-    said = speech_units(paragraphs, limit).join(paragraph_pages(page_rows, paragraphs), ["article_id", "paragraph_id"])
-    body = said.join(paragraphs.select("article_id", "paragraph_id", "section_id"), ["article_id", "paragraph_id"])
-    place = sections.where(normalised(F.coalesce("title", F.lit(""))) != "").select("article_id", "section_id", F.col("ord").alias("section_ord"), "title")
-    order = sections.select("article_id", "section_id", F.col("ord").alias("section_ord"))
-    spoken = body.join(order, ["article_id", "section_id"]).select("article_id", "page", "section_ord", F.lit(1).alias("rank"), "ord", "parts")
-    first = spoken.groupBy("article_id", "section_ord").agg(F.min("page").alias("page"))
-    titles = place.join(first, ["article_id", "section_ord"], "left")
-    # A title without text of its own is read where the text below it is: on the page of its top-level section.
-    top = page_rows.select("article_id", F.col("page").alias("top_page"), F.explode("section_ids").alias("top"))
-    titles = titles.withColumn("top", F.split("section_id", "-")[0]).join(top, ["article_id", "top"], "left")
-    heads = titles.select("article_id", F.coalesce("page", "top_page").alias("page"), "section_ord", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"), chunks(F.col("title"), limit).alias("parts")).where("page IS NOT NULL")
+    # Pages are found for sections, which are narrow; texts are joined once.
+    placed = page_rows.select("article_id", "page", "kind", F.explode_outer("section_ids").alias("top"))
+    own = sections.select("article_id", "section_id", F.col("ord").alias("section_ord"), "title", "part")
+    body = own.where("part = 'sections'").withColumn("top", F.split("section_id", "-")[0]).join(placed.where("top IS NOT NULL").drop("kind"), ["article_id", "top"]).drop("top")
+    front = own.where("part = 'abstract'").join(placed.where("kind = 'overview'").select("article_id", "page"), "article_id")
+    # A title without text of its own is read where the text below it is: on the page of its top-level section. The abstract's have none below.
+    front = front.join(paragraphs.where("part = 'abstract'").select("article_id", "section_id").distinct(), ["article_id", "section_id"], "left_semi")
+    homes = body.unionByName(front)
+    heads = homes.where(normalised(F.coalesce("title", F.lit(""))) != "").select("article_id", "page", "section_ord", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"), chunks(F.col("title"), limit).alias("parts"))
+    said = speech_units(paragraphs, limit, "section_id").join(homes.select("article_id", "section_id", "section_ord", "page"), ["article_id", "section_id"])
+    spoken = said.select("article_id", "page", "section_ord", F.lit(1).alias("rank"), "ord", "parts")
     number = F.row_number().over(W.partitionBy("article_id", "page").orderBy("section_ord", "rank", "ord"))
     return heads.unionByName(spoken).withColumn("place", number).select("article_id", "page", "place", "parts")
 

@@ -46,16 +46,17 @@ def only_new(files: DataFrame, known: DataFrame, force: bool = False) -> DataFra
 
 def stored(rows: DataFrame) -> DataFrame:
     """Rows that a plan reads several times, written once to the shared folder (spark.checkpoint.dir), from which any task reads the columns it needs.
-    A session on one machine without one uses the temp folder; a cluster without one keeps the rows by persist()."""
+    A session on one machine without one uses the temp folder; a cluster without one keeps the rows by persist(). Their joins are merges: a compressed
+    file of long rows looks small enough to be broadcast when its rows are not."""
     spark = rows.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            return rows.persist()
+            return rows.persist().hint("merge")
         shared = "/tmp/leafwright-shared"
     path = f"{shared.rstrip('/')}/articles-{uuid4().hex}"
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).hint("merge")
 
 
 def over_roots(tables: dict[str, DataFrame]) -> DataFrame:

@@ -156,6 +156,7 @@ def test_article_queries_keep_nothing_in_memory(spark, name):
     assert found.count() > 0 and spark._jsparkSession.sharedState().cacheManager().isEmpty()
     stored = name not in ("article_authors", "article_marks", "overviews")
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == (0 if stored else 1)
+    assert not stored or "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_files_to_tables(spark, tmp_path):
